@@ -67,8 +67,8 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, rest: int = REST_
         if weights[k]:
             queue = F.when(F.col("source") == name, F.lit(k)).otherwise(queue)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    digits = 1
-    while chunk_rows * 16**digits < docs.select("doc_id").count() and digits < 6:
+    total, digits = docs.count(), 1
+    while chunk_rows * 16**digits < total:
         digits += 1
     rows = docs.withColumns({"_queue": queue, "_key": key}).withColumn("_chunk", F.substring("_key", 1, digits))
 

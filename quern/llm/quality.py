@@ -64,8 +64,11 @@ def _classes() -> np.ndarray:
 _TABLE: list[np.ndarray] = []
 
 
-def _logit(part: float, whole: float) -> float:
-    share = (part + 0.5) / (whole + 1.0)
+def _logit(part: float, whole: float, usual: float, weight: float) -> float:
+    """Log odds of a share, drawn towards its usual value by ``weight`` pseudo-counts: a few
+    characters say little about a text."""
+    share = (part + weight * usual) / (whole + weight)
+    share = min(max(share, 1e-5), 1 - 1e-5)
     return float(np.log(share / (1.0 - share)))
 
 
@@ -86,18 +89,18 @@ def features(text: str) -> list[float]:
     # Distinct words grow slower than words; compare with a square-root law beyond 200 words.
     expected = w if w <= 200 else 200 + (w - 200) ** 0.8
     return [
-        float(np.log1p(n)),
-        float(np.log1p(w)) - float(np.log1p(n)),
-        _logit(letters, n),
-        _logit(counts[_UPPER], letters),
-        _logit(counts[_SYMBOL], n),
-        _logit(counts[_BAR], w),
-        _logit(counts[_STOP], n),
-        _logit(counts[_DIGIT], n),
-        float(np.log((distinct + 1) / (expected + 1))),
-        _logit(repeats, max(w - 1, 0)),
-        _logit(copies, len(lines)),
-        _logit(text.count("!"), max(w, text.count("!"))),
+        float(np.log(n + 40)),
+        float(np.log((w + 6) / (n + 40))),
+        _logit(letters, n, 0.82, 40),
+        _logit(counts[_UPPER], letters, 0.03, 40),
+        _logit(counts[_SYMBOL], n, 0.002, 40),
+        _logit(counts[_BAR], w, 0.01, 10),
+        _logit(counts[_STOP], n, 0.03, 40),
+        float(np.sqrt(counts[_DIGIT] / (n + 40))),
+        float(np.log((distinct + 10) / (expected + 10))),
+        _logit(repeats, max(w - 1, 0), 0.005, 10),
+        _logit(copies, len(lines), 0.02, 10),
+        _logit(min(text.count("!"), w), w, 0.005, 10),
     ]
 
 
