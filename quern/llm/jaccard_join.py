@@ -18,7 +18,8 @@ The Jaccard distance d = 1 - |A & B| / |A | B| is a metric.  Documents link at d
 
 Element counts are taken over the whole corpus, but only serve as the order in step 2: any
 order gives the same links.  Elements are 64-bit hashes of shingles, classes have 128-bit keys.
-The counts that tasks carry are the ``HEAVY`` most frequent elements, whatever the corpus holds.
+What tasks carry of the counts has a fixed size: those of the ``HEAVY`` most frequent elements,
+and a map of 2**``MAP_BITS`` bits (16 MB) of the elements that repeat at all.
 
 Defined results
     null and empty texts and texts of white space have an empty set, n_shingles 0, and link
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.llm.common import bounded_batches, drop_table, through_table
+from quern.llm.common import bounded_batches, through_table
 from quern.llm.components import components
 
 WORDS = 5
@@ -46,8 +47,8 @@ WORDS = 5
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100
 EPS = 1e-9
-#: Elements whose counts the order uses.
-HEAVY = 1 << 17
+#: Elements whose counts the order uses, and the size (a power of two) of the map of repeated ones.
+HEAVY, MAP_BITS = 1 << 17, 27
 #: Sets that one task joins by itself; pivots of one round over a larger region.
 REGION, PIVOTS = 512, 16
 #: Elements gathered before they are packed for a shuffle.
@@ -188,12 +189,12 @@ def classes_of(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- 2. regions
 
 
-def frequent_elements(docs: DataFrame, bits: int, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent elements (their upper ``bits`` + 32 bits, sorted) and their counts.
+def element_counts(docs: DataFrame, bits: int) -> DataFrame:
+    """How many rows hold each element (its upper ``bits`` + 32 bits) that more than one holds.
 
     Counts run over all documents.  Tasks send packed runs of elements, one for each range; a
-    range is added up in one task, of the size that ``bits`` sets.  How many elements have
-    which count is known before any are collected, so at most ``most`` are.
+    range is added up in one task, of the size that ``bits`` sets.  A row is a range's elements
+    of one tier (a quarter of a power of two) of the count.
     """
 
     def emit(batches):
@@ -235,49 +236,94 @@ def frequent_elements(docs: DataFrame, bits: int, most: int = HEAVY) -> tuple[np
             order = np.argsort(values, kind="stable")
             values, counts = values[order], np.concatenate(counts)[order]
             first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            values, counts = values[first].astype(np.int64) | (r << 32), np.add.reduceat(counts, first)
-            often = counts >= 8
-            yield pa.RecordBatch.from_arrays([pa.array(values[often], pa.int64()), pa.array(counts[often], pa.int64())], names=["e", "n"])
+            values, counts = values[first], np.add.reduceat(counts, first)
+            values, counts = values[counts > 1], counts[counts > 1]
+            tiers = np.floor(np.log2(counts) * 4).astype(int) if len(counts) else counts
+            rows = [(r, int(t), values[tiers == t], counts[tiers == t]) for t in np.unique(tiers)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int32()), pa.array([len(x[2]) for x in rows], pa.int64()), pa.array([pack(x[2]) for x in rows], pa.binary()), pa.array([x[3].astype("<u4").tobytes() for x in rows], pa.binary())],
+                names=["r", "tier", "n", "v", "c"],
+            )
 
     packed = docs.select("text").mapInArrow(emit, "r long, v binary, i binary, c binary")
-    table = through_table(packed.repartition("r").sortWithinPartitions("r").mapInArrow(add_up, "e long, n long"), "jaccard-counts")
-    tier = F.floor(F.log2("n") * 4).cast("int")
-    steps = table.groupBy(tier.alias("tier")).count().orderBy(F.desc("tier")).collect()
+    return through_table(packed.repartition("r").sortWithinPartitions("r").mapInArrow(add_up, "r long, tier int, n long, v binary, c binary"), "jaccard-counts")
+
+
+def _lowest_tier(table: DataFrame, most: int) -> int | None:
+    """The lowest tier such that at most ``most`` elements are in it or above."""
     lowest, total = None, 0
-    for s in steps:
-        if total + s["count"] > most:
+    for s in table.groupBy("tier").agg(F.sum("n").alias("n")).orderBy(F.desc("tier")).collect():
+        total += s.n
+        if total > most:
             break
-        lowest, total = s.tier, total + s["count"]
-    rows = table.where(tier >= lowest).orderBy("e").collect() if lowest is not None else []
-    drop_table(table)
-    return np.array([x.e for x in rows], np.int64), np.array([x.n for x in rows], np.int64)
+        lowest = s.tier
+    return lowest
+
+
+def most_frequent(table: DataFrame, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent elements (sorted) and their counts: at most ``most``, as counted before any is collected."""
+    lowest = _lowest_tier(table, most)
+    rows = table.where(F.col("tier") >= lowest).select("r", "v", "c").collect() if lowest is not None else []
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    e = np.concatenate([unpack(x.v).astype(np.int64) | (x.r << 32) for x in rows])
+    n = np.concatenate([np.frombuffer(x.c, "<u4") for x in rows]).astype(np.int64)
+    order = np.argsort(e)
+    return e[order], n[order]
+
+
+def repeated_map(table: DataFrame, bits: int, size: int) -> np.ndarray:
+    """A map of 2**size bits, set where an element occurs more than once.
+
+    Its size is fixed by the caller.  Where too many elements repeat for it, it marks those of
+    the higher tiers only, at most a quarter as many as it has bits.
+    """
+    out = np.zeros((1 << size) // 8, np.uint8)
+    lowest = _lowest_tier(table, 1 << (size - 2))
+    if lowest is None:
+        return out
+    local = size - bits
+
+    def run(batches):
+        for r, (v,) in _runs(batches, "r", ("v",)):
+            own = np.zeros(1 << local, bool)
+            for blob in v:
+                own[unpack(blob) >> np.uint32(32 - local)] = True
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], names=["r", "m"])
+
+    for x in table.where(F.col("tier") >= lowest).select("r", "v").repartition("r").sortWithinPartitions("r").mapInArrow(run, "r long, m binary").toLocalIterator():
+        width = (1 << local) // 8
+        out[x.r * width : (x.r + 1) * width] = np.frombuffer(x.m, np.uint8)
+    return out
 
 
-def first_elements(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+def first_elements(s: np.ndarray, heavy: np.ndarray, counts: np.ndarray, repeated: np.ndarray, bits: int) -> np.ndarray:
     """The elements of a set that come first: rare before frequent, then by value."""
     take = len(s) - needed(len(s)) + 1
-    if not len(heavy):
-        return s[:take]
-    short = (s >> _U(32 - bits)).astype(np.int64)
-    at = np.searchsorted(heavy, short)
-    at[at == len(heavy)] = 0
-    rank = np.where(heavy[at] == short, counts[at], 0)
-    light = np.flatnonzero(rank == 0)
-    if len(light) >= take:
-        return s[light[:take]]
+    size = (len(repeated) * 8).bit_length() - 1
+    at = (s >> _U(64 - size)).astype(np.int64)
+    rank = ((repeated[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.int64)
+    once = np.flatnonzero(rank == 0)
+    if len(once) >= take:
+        return s[once[:take]]
+    if len(heavy):
+        short = (s >> _U(32 - bits)).astype(np.int64)
+        at = np.searchsorted(heavy, short)
+        at[at == len(heavy)] = 0
+        rank = np.where(heavy[at] == short, counts[at], rank)
     return s[np.lexsort((s, rank))[:take]]
 
 
-def region_edges(docs: DataFrame, bits: int, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
+def region_edges(docs: DataFrame, bits: int, heavy: np.ndarray, counts: np.ndarray, repeated: np.ndarray) -> DataFrame:
     """Edges (a, b) between class keys k1: a star for each run of sets that share a first element.
 
     Runs are cut where the next larger set has more than two size steps (of a quarter) on the
     set before, so that no link can cross the cut.
     """
-    carried = docs.sparkSession.sparkContext.broadcast((heavy, counts))
+    carried = docs.sparkSession.sparkContext.broadcast((heavy, counts, repeated))
 
     def emit(batches):
-        heavy, counts = carried.value
+        heavy, counts, repeated = carried.value
         held, nodes, sizes, size, seen = [], [], [], 0, set()
 
         def flush():
@@ -298,7 +344,7 @@ def region_edges(docs: DataFrame, bits: int, heavy: np.ndarray, counts: np.ndarr
             if not len(s) or key in seen:  # a copy within the chunk adds nothing
                 continue
             seen.add(key)
-            held.append(first_elements(s, heavy, counts, bits))
+            held.append(first_elements(s, heavy, counts, repeated, bits))
             nodes.append(key[0])
             sizes.append(min(255, int(math.log(len(s)) / math.log(100 / PERCENT))))
             size += len(held[-1])
@@ -568,15 +614,18 @@ def join_large(active: DataFrame, per_task: int = REGION, pivots: int = PIVOTS)
 # ---------------------------------------------------------------- 4. all of it
 
 
-def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY) -> DataFrame:
+def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""
     bounded_batches(docs.sparkSession)
     keys = through_table(classes_of(docs), "jaccard-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
     bits = min(24, max(8, math.ceil(math.log2(max(1, total / (1 << 20))))))
 
-    heavy, counts = frequent_elements(docs, bits, heavy_limit)
-    regions = components(region_edges(docs, bits, heavy, counts), "jaccard-regions").select(F.col("node").alias("k1"), F.col("root").alias("region"))
+    table = element_counts(docs, bits)
+    heavy, counts = most_frequent(table, heavy_limit)
+    size = max(bits + 3, min(map_bits, max(1, total).bit_length() + 1))
+    edges = region_edges(docs, bits, heavy, counts, repeated_map(table, bits, size))
+    regions = components(edges, "jaccard-regions").select(F.col("node").alias("k1"), F.col("root").alias("region"))
     classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     members = classes.where("rep is not null").join(regions, "k1").select("region", F.col("rep").alias("doc_id"), "k1", "k2")
     sizes = members.groupBy("region").agg((F.count(F.lit(1)) > per_task).alias("big"))
