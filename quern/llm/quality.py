@@ -150,7 +150,7 @@ _FIELDS = [("x", pa.list_(pa.float64()))]
 def fit_quality(docs: DataFrame, labels: DataFrame, train: Column | None = None, per_class: int = PER_CLASS) -> Discriminant:
     sample = labelled_docs(docs, labels, "quality", F.lit(True) if train is None else train, per_class)
     rows = map_texts(sample, lambda t: (features(t),), _FIELDS, "x array<double>", ["quality"]).collect()
-    x = np.array([r.x for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r.x for r in rows], float) if rows else np.zeros((0, 1))
     return Discriminant.fit(x, np.array([r.quality for r in rows], int))
 
 
