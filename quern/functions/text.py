@@ -82,8 +82,10 @@ def shingles(col: Column, k: int = 5) -> Column:
 def char_ngrams(col: Column, n: int = 4) -> Column:
     """Distinct n-grams of the stream of lower-case letters and digits."""
 
-    def body(s: Column) -> Column:
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1))), lambda i: F.substring(s, i, F.lit(n)))
-        return F.when(F.length(s) < n, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+    def body(c: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(c, i, n), ""))
+        return F.when(F.size(c) < n, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
 
-    return _bound(F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]", ""), body)
+    # Single characters first: reaching into a string by position costs its length each time.
+    stream = F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]", "")
+    return _bound(F.filter(F.split(stream, ""), lambda c: c != ""), body)

@@ -122,12 +122,12 @@ def overlap_pairs(records: DataFrame, threshold: float = 0.75, k: int = 5, max_d
 
 def faithfulness(pairs: DataFrame) -> DataFrame:
     """ord, inter, n_old, n_new, numbers_kept, faithful from (ord, old, new)."""
-    a, b = T.char_ngrams(T.filled("old")), T.char_ngrams(T.filled("new"))
-    number = r"[0-9]+(?:[.,/][0-9]+)?"
-    old_n, new_n = F.regexp_extract_all("old", F.lit(number), F.lit(0)), F.regexp_extract_all("new", F.lit(number), F.lit(0))
+    number = F.lit(r"[0-9]+(?:[.,/][0-9]+)?")
+    p = pairs.select("ord", T.filled("old").alias("old"), T.filled("new").alias("new"))
+    p = p.withColumns({"a": T.char_ngrams(F.col("old")), "b": T.char_ngrams(F.col("new")), "x": F.regexp_extract_all("old", number, F.lit(0)), "y": F.regexp_extract_all("new", number, F.lit(0))})
     times = lambda c, v: F.size(F.filter(c, lambda x: x == v))
-    kept = F.forall(F.array_distinct(new_n), lambda v: times(new_n, v) <= times(old_n, v))
-    p = pairs.withColumns({"old": T.filled("old"), "new": T.filled("new")}).select("ord", "old", "new", F.size(a).cast("long").alias("n_old"), F.size(b).cast("long").alias("n_new"), F.size(F.array_intersect(a, b)).cast("long").alias("inter"), kept.alias("numbers_kept"))
+    kept = F.forall(F.array_distinct("y"), lambda v: times(F.col("y"), v) <= times(F.col("x"), v))
+    p = p.select("ord", "old", "new", F.size("a").cast("long").alias("n_old"), F.size("b").cast("long").alias("n_new"), F.size(F.array_intersect("a", "b")).cast("long").alias("inter"), kept.alias("numbers_kept"))
     ok = (F.col("n_new") > 0) & (F.col("n_old") > 0) & (F.col("inter") >= F.col("n_new") * 0.80) & (F.col("inter") >= F.col("n_old") * 0.60) & F.col("numbers_kept") & (F.length("new") >= F.length("old") * 0.5)
     return p.select("ord", "inter", "n_old", "n_new", "numbers_kept", ok.alias("faithful"))
 

@@ -192,7 +192,7 @@ v AS (SELECT *, CASE WHEN wl < 0.60 OR caps > 0.15 OR alpha < 0.30 OR (n_tokens
 _PARA = f"{_REC}, para AS (SELECT ord, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM rec), keyed AS (SELECT *, CASE WHEN length({_STRIP('p')}) >= 80 THEN {_NORM('p')} END AS key FROM para), freq AS (SELECT key, count(DISTINCT ord) AS docs FROM keyed WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT ord) > 3)"
 _SH = f"{_REC}, w AS (SELECT ord, {_WORDS(_NORM('text'))} AS w FROM rec), sh AS (SELECT ord, CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM w)"
 _ALNUM = lambda x: rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]', '', 'g')"
-_GRAMS = lambda x: f"CASE WHEN length({x}) < 4 THEN []::VARCHAR[] ELSE list_distinct(list_transform(range(1, length({x}) - 2), lambda i: substr({x}, i, 4))) END"
+_GRAMS = lambda x: f"CASE WHEN length({x}) < 4 THEN []::VARCHAR[] ELSE list_distinct(list_transform(list_zip(c{x}, c{x}[2:], c{x}[3:], c{x}[4:])[1:len(c{x}) - 3], lambda z: z[1] || z[2] || z[3] || z[4])) END"
 _VAL = "('0x' || substr(sha1(text), 1, 8))::UBIGINT % 50 = 0"
 _PAIRS = "SELECT conv_id, turn, u AS \"user\", text AS assistant FROM (SELECT *, lag(role) OVER w AS r, lag(text) OVER w AS u FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'assistant' AND r = 'user'"
 
@@ -221,7 +221,8 @@ SELECT ord, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM k WHERE NOT
         "shingle_counts": f"{_SH} SELECT ord, len(s) AS n_shingles FROM sh",
         "overlap_pairs": f"{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), h AS (SELECT g.* FROM g JOIN ok USING (h)), p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM h x JOIN h y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord) SELECT a, b, shared FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75",
         "faithfulness": f"""{_REC}, p AS (SELECT ord, text AS old, {_REFLOW} AS new FROM rec), q AS (SELECT ord, old, new, {_ALNUM('old')} AS x, {_ALNUM('new')} AS y FROM p),
-g AS (SELECT *, {_GRAMS('x')} AS a, {_GRAMS('y')} AS b, regexp_extract_all(old, '[0-9]+(?:[.,/][0-9]+)?') AS n1, regexp_extract_all(new, '[0-9]+(?:[.,/][0-9]+)?') AS n2 FROM q),
+h AS (SELECT *, list_filter(string_split(x, ''), lambda v: v <> '') AS cx, list_filter(string_split(y, ''), lambda v: v <> '') AS cy FROM q),
+g AS (SELECT *, {_GRAMS('x')} AS a, {_GRAMS('y')} AS b, regexp_extract_all(old, '[0-9]+(?:[.,/][0-9]+)?') AS n1, regexp_extract_all(new, '[0-9]+(?:[.,/][0-9]+)?') AS n2 FROM h),
 m AS (SELECT ord, old, new, len(a) AS n_old, len(b) AS n_new, len(list_intersect(a, b)) AS inter, len(list_filter(n2, lambda v: len(list_filter(n2, lambda z: z = v)) > len(list_filter(n1, lambda z: z = v)))) = 0 AS numbers_kept FROM g)
 SELECT ord, inter, n_old, n_new, numbers_kept, n_new > 0 AND n_old > 0 AND inter >= n_new * 0.8 AND inter >= n_old * 0.6 AND numbers_kept AND length(new) >= length(old) * 0.5 AS faithful FROM m""",
         "val_split": f"{_REC} SELECT ord, {_VAL} AS val FROM rec",
