@@ -137,3 +137,11 @@ def first_by_hash(records: DataFrame, by: str, k: int, seed: int) -> DataFrame:
     The rank limit is applied in every task before the shuffle."""
     w = Window.partitionBy(by).orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col("ord"))), "ord")
     return records.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def build_corpus(records: DataFrame, sep: str = "\n\n") -> DataFrame:
+    """Gate, exact copies, common paragraphs, near copies; ``id`` is the sha1 of the final text."""
+    from quern.operators import neardup
+
+    unique = exact_dedup(records.where(is_quality(T.filled("text"))))
+    return neardup.minhash_dedup(paragraph_dedup(unique, sep=sep)).withColumn("id", F.sha1("text"))

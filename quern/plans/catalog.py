@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import passes, sft
+from quern.operators import doctype, neardup, passes, repair, sft, tokens
+from quern.sources import documents
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,10 +155,69 @@ def stem_diversity(spark, sf):
     return sft.stem_diversity(_read(spark, sf, "conversations").where("role = 'user'"))
 
 
+def near_contained(spark, sf):
+    """Pairs of which one is mostly inside the other without being its near copy."""
+    return passes.overlap_pairs(records(spark, sf)).where("jaccard < 0.75").select("a", "b", "shared")
+
+
+def minhash_dedup(spark, sf):
+    return neardup.minhash_dedup(records(spark, sf)).select("ord", "system", "source")
+
+
+def drop_list(spark, sf):
+    return neardup.keep_drop(records(spark, sf))
+
+
+def dup_clusters(spark, sf):
+    return neardup.keep_drop(records(spark, sf)).groupBy("keep").agg(F.count(F.lit(1)).alias("drops"), F.max("overlap").alias("most"))
+
+
+def corpus_build(spark, sf):
+    """The whole flagship pass."""
+    return passes.build_corpus(records(spark, sf), "\n").select("ord", "system", "id", F.length("text").cast("long").alias("n_chars"))
+
+
+def classify_scores(spark, sf):
+    return doctype.classify(records(spark, sf)).select("ord", *doctype.SIGNALS)
+
+
+def classify_best(spark, sf):
+    return doctype.classify(records(spark, sf)).select("ord", "doc_type", "confident")
+
+
+def html_text(spark, sf):
+    return documents.html_column(_read(spark, sf, "pages")).select("page_id", "text")
+
+
+def nfkc_repair(spark, sf):
+    return repair.clean_text(records(spark, sf)).select("ord", F.md5("text").alias("digest"))
+
+
+def repair_decision(spark, sf):
+    pairs = records(spark, sf).select("ord", T.filled("text").alias("old"), T.reflow(T.filled("text")).alias("new"))
+    return repair.decisions(pairs)
+
+
+def packed_windows(spark, sf):
+    return tokens.packed_windows(tokens.with_split(tokens.tokenised(records(spark, sf))), 1024).select("split", "window", F.size("ids").cast("long").alias("n"), F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+def masked_examples(spark, sf):
+    rows = tokens.masked_examples(_read(spark, sf, "conversations"))
+    return rows.select("conv_id", F.size("ids").cast("long").alias("n"), F.size(F.filter("targets", lambda t: t >= 0)).cast("long").alias("n_loss"))
+
+
+def stitched_chats(spark, sf):
+    pairs = sft.turn_pairs(_read(spark, sf, "conversations")).select(F.concat_ws("-", "conv_id", "turn").alias("key"), "user", "assistant")
+    return tokens.stitched_chats(pairs, 200).select("chat", F.col("slot").cast("long").alias("slot"), "user", "assistant")
+
+
 QUERIES = (
     ingest_stats, quality_gate, gate_stats_by_lang, publishable_subset, norm_sha1, exact_dedup, paragraph_doc_freq, paragraph_dedup, header_footer_strip,
     repair_breaks, reflow, audit_counters, audit_verdict, verdict_histogram, audit_worst_first, readable_docs, shingle_counts, overlap_pairs, faithfulness,
     val_split, token_offsets, turn_pairs, sft_prompts, chat_context, per_lang_sample, per_source_cap, padded_batches, shard_plan, cache_lookup, stem_diversity,
+    near_contained, minhash_dedup, drop_list, dup_clusters, corpus_build, classify_scores, classify_best, html_text, nfkc_repair, repair_decision,
+    packed_windows, masked_examples, stitched_chats,
 )
 
 
@@ -197,8 +257,22 @@ _VAL = "('0x' || substr(sha1(text), 1, 8))::UBIGINT % 50 = 0"
 _PAIRS = "SELECT conv_id, turn, u AS \"user\", text AS assistant FROM (SELECT *, lag(role) OVER w AS r, lag(text) OVER w AS u FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'assistant' AND r = 'user'"
 
 
+_HITS = ", ".join("(" + " + ".join(f"{w} * len(regexp_extract_all(text, '(?is){p}'))" for p, w in signals.items()) + f")::BIGINT AS {kind}" for kind, signals in doctype.SIGNALS.items())
+_KINDS = f"{_REC}, s AS (SELECT ord, {_HITS} FROM rec)"
+_STITCH = f"""WITH q AS (SELECT conv_id || '-' || turn AS key, "user", assistant FROM ({_PAIRS})),
+n AS (SELECT *, row_number() OVER (ORDER BY md5('5:' || key), key) - 1 AS place, count(*) OVER () AS total FROM q),
+c AS (SELECT range AS chat, md5('5:chat:' || range) AS m, (SELECT count(*) FROM q) AS total FROM range(200)),
+k AS (SELECT chat, total, ('0x' || substr(m, 1, 8))::BIGINT % total AS base, least(('0x' || substr(m, 9, 4))::BIGINT % 3 + 2, total) AS k FROM c),
+s AS (SELECT chat, unnest(range(k)) AS slot, base, total FROM k)
+SELECT chat, slot, "user", assistant FROM s JOIN n ON n.place = (s.base + s.slot) % s.total"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "near_contained": f"{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), h AS (SELECT g.* FROM g JOIN ok USING (h)), p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM h x JOIN h y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord) SELECT a, b, shared FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75 AND shared / (len(s1.s) + len(s2.s) - shared) < 0.75",
+        "classify_scores": f"{_KINDS} SELECT * FROM s",
+        "classify_best": f"{_KINDS}, t AS (SELECT *, bestiary + adventure + rules AS total, greatest(bestiary, adventure, rules) AS top FROM s), u AS (SELECT *, top - (total - top - least(bestiary, adventure, rules)) AS lead FROM t) SELECT ord, CASE WHEN total = 0 THEN NULL WHEN bestiary = top THEN 'bestiary' WHEN adventure = top THEN 'adventure' ELSE 'rules' END AS doc_type, total > 0 AND coalesce(lead / nullif(total, 0), 0) >= 0.45 AS confident FROM u",
+        "stitched_chats": _STITCH,
         "ingest_stats": f"{_REC}, k AS (SELECT *, row_number() OVER (PARTITION BY sha1({_NORM('text')}) ORDER BY ord) AS r FROM rec WHERE {_GOOD}) SELECT system, count(*) AS documents, sum(length(text))::BIGINT AS characters FROM k WHERE r = 1 GROUP BY system",
         "quality_gate": f"{_REC} SELECT ord, system FROM rec WHERE {_GOOD}",
         "gate_stats_by_lang": f"{_REC} SELECT system, count(*) AS documents, sum(CASE WHEN {_GOOD} THEN 1 ELSE 0 END)::BIGINT AS kept, sum(length(text))::BIGINT AS characters FROM rec GROUP BY system",

@@ -1,0 +1,215 @@
+"""Files to text: plain text, HTML, DOCX, ODT, EPUB and archives of them, read by binaryFile.
+
+Every file is opened inside a task.  A file that cannot be read gives a null text and never
+fails the job.  PDF, OCR and the legacy binary formats need libraries that are not assumed:
+pass a callable for their suffix in ``readers``.
+"""
+
+from __future__ import annotations
+
+import bz2
+import gzip
+import io
+import lzma
+import posixpath
+import tarfile
+import zipfile
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
+from urllib.parse import unquote
+from xml.etree import ElementTree
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.session import ship
+
+# Limits of an archive.
+MEMBER_BYTES, TOTAL_BYTES, MEMBERS = 512 << 20, 4 << 30, 10_000
+# Elements whose text is not content, with and without page furniture.
+BARE_SKIP = frozenset({"script", "style", "head"})
+FULL_SKIP = BARE_SKIP | {"nav", "footer"}
+
+Reader = Callable[[bytes], str | None]
+
+
+class _Text(HTMLParser):
+    def __init__(self, skip: frozenset[str]):
+        super().__init__(convert_charrefs=True)
+        self.skip, self.depth, self.parts = skip, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag in self.skip
+
+    def handle_endtag(self, tag):
+        self.depth -= tag in self.skip and self.depth > 0
+
+    def handle_data(self, data):
+        if not self.depth and data.strip():
+            self.parts.append(data.strip())
+
+
+def html_text(html: str | None, skip: frozenset[str] = FULL_SKIP) -> str:
+    """Non-blank pieces of text outside ``skip``, one a line."""
+    parser = _Text(skip)
+    parser.feed(html or "")
+    parser.close()
+    return "\n".join(parser.parts)
+
+
+def _plain(data: bytes) -> str:
+    return data.decode("utf-8", "replace")
+
+
+def _local(element) -> str:
+    return element.tag.rsplit("}", 1)[-1] if isinstance(element.tag, str) else ""
+
+
+def _xml(data: bytes, member: str):
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        return ElementTree.fromstring(z.read(member))
+
+
+def _docx(data: bytes) -> str:
+    paragraphs = (e for e in _xml(data, "word/document.xml").iter() if _local(e) == "p")
+    texts = ("".join(t.text or "" for t in p.iter() if _local(t) == "t") for p in paragraphs)
+    return "\n\n".join(t for t in texts if t.strip())
+
+
+def _odt(data: bytes) -> str:
+    texts = ("".join(e.itertext()) for e in _xml(data, "content.xml").iter() if _local(e) in ("p", "h"))
+    return "\n\n".join(t for t in texts if t.strip())
+
+
+def _spine(book: zipfile.ZipFile) -> list[str]:
+    """Members in reading order; in the order of names where the package does not tell."""
+    names = set(book.namelist())
+    pages = sorted(n for n in names if n.lower().endswith((".xhtml", ".html", ".htm")))
+    package = next((n for n in sorted(names) if n.lower().endswith(".opf")), None)
+    if package is None:
+        return pages
+    try:
+        tree = ElementTree.fromstring(book.read(package))
+    except ElementTree.ParseError:
+        return pages
+    href = {e.get("id"): e.get("href") for e in tree.iter() if _local(e) == "item" and e.get("href")}
+    order = [href[e.get("idref")] for e in tree.iter() if _local(e) == "itemref" and e.get("idref") in href]
+    base = posixpath.dirname(package)
+    found = [m for m in (posixpath.normpath(posixpath.join(base, unquote(h))) for h in order) if m in names]
+    return found or pages
+
+
+def _epub(data: bytes) -> str:
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
+        texts = [html_text(_plain(book.read(m))) for m in _spine(book)]
+    return "\n\n".join(t for t in texts if t)
+
+
+READERS: dict[str, Reader] = {
+    ".txt": _plain, ".md": _plain, ".markdown": _plain,
+    ".html": lambda d: html_text(_plain(d)), ".htm": lambda d: html_text(_plain(d)), ".xhtml": lambda d: html_text(_plain(d)),
+    ".docx": _docx, ".odt": _odt, ".epub": _epub,
+}
+TAR = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar.xz", ".txz")
+SINGLE = {".gz": gzip.open, ".bz2": bz2.open, ".xz": lzma.open}
+
+
+def suffix(name: str) -> str:
+    return posixpath.splitext(name.lower())[1]
+
+
+def is_archive(name: str) -> bool:
+    return name.lower().endswith((".zip", *TAR, *SINGLE))
+
+
+def is_junk(name: str) -> bool:
+    """Droppings of file managers."""
+    parts = name.split("/")
+    return "__MACOSX" in parts or parts[-1].startswith("._") or parts[-1] in (".DS_Store", "Thumbs.db")
+
+
+def members(name: str, data: bytes, wanted: set[str]) -> Iterator[tuple[str, bytes]]:
+    """(label, bytes) of an archive's regular members with a wanted suffix; archives inside are
+    not opened, members over the limit are skipped, and the limits on all end the reading."""
+    low, total, count = name.lower(), 0, 0
+
+    def raw() -> Iterator[tuple[str, int, Callable]]:
+        if low.endswith(".zip"):
+            with zipfile.ZipFile(io.BytesIO(data)) as z:
+                for i in z.infolist():
+                    if not i.is_dir():
+                        yield i.filename, i.file_size, lambda i=i: z.open(i)
+        elif low.endswith(TAR):
+            with tarfile.open(fileobj=io.BytesIO(data)) as t:
+                for i in t:
+                    if i.isfile():
+                        yield i.name, i.size, lambda i=i: t.extractfile(i)
+        else:
+            ending = suffix(name)
+            yield posixpath.basename(name)[: -len(ending)], 0, lambda: SINGLE[ending](io.BytesIO(data))
+
+    for label, size, opened in raw():
+        if suffix(label) not in wanted or is_junk(label) or size > MEMBER_BYTES:
+            continue
+        with opened() as f:
+            body = f.read(MEMBER_BYTES + 1)
+        if len(body) > MEMBER_BYTES:
+            continue
+        total, count = total + len(body), count + 1
+        if total > TOTAL_BYTES or count > MEMBERS:
+            return
+        yield f"{name}!{label}", body
+
+
+def extract(name: str, data: bytes, readers: dict[str, Reader]) -> Iterator[tuple[str, str | None]]:
+    """(label, text) of a file, or of each readable member of an archive."""
+
+    def one(label: str, body: bytes, kind: str) -> tuple[str, str | None]:
+        try:
+            text = readers[kind](body)
+        except Exception:  # any broken file: no text
+            text = None
+        return label, text if text and text.strip() else None
+
+    if not is_archive(name):
+        if suffix(name) in readers:
+            yield one(name, data, suffix(name))
+        return
+    try:
+        for label, body in members(name, data, set(readers)):
+            yield one(label, body, suffix(label))
+    except (OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, lzma.LZMAError, RuntimeError):
+        yield name, None
+
+
+def read_files(spark: SparkSession, path: str, glob: str = "*", readers: dict[str, Reader] | None = None) -> DataFrame:
+    """source, sha256, text of every supported file below ``path``; junk files are left out."""
+    ship(spark)
+    known = READERS | (readers or {})
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, digest, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if not is_junk(name):
+                    for label, text in extract(name, data.as_py(), known):
+                        yield pa.RecordBatch.from_pydict({"source": [label], "sha256": [digest], "text": pa.array([text], pa.string())})
+
+    return files.select("path", F.sha2("content", 256).alias("sha256"), "content").mapInArrow(run, "source string, sha256 string, text string")
+
+
+def html_column(pages: DataFrame, col: str = "html", skip: frozenset[str] = FULL_SKIP) -> DataFrame:
+    """``pages`` with a ``text`` column."""
+    ship(pages.sparkSession)
+
+    @F.pandas_udf("string")
+    def run(html):
+        return html.map(lambda h: html_text(h, skip))
+
+    return pages.withColumn("text", run(F.col(col)))
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Objects, one a line; the schema is named, so the input is read once."""
+    return spark.read.schema(schema).json(path)
