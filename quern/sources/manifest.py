@@ -51,8 +51,8 @@ def load(path: str) -> list[Source]:
 
 
 def scan(spark: SparkSession, root: str, sources: list[Source]) -> DataFrame:
-    """source, sha256, text and the source's terms, of the files of all sources."""
-    parts = [documents.read_files(spark, root, s.glob).select("*", *(F.lit(getattr(s, n)).alias(n) for n in ("system", "doc_type", "license", "publishable"))) for s in sources]
+    """source, sha256, text, spec (place of the source in the list) and terms, of all files."""
+    parts = [documents.read_files(spark, root, s.glob).select("*", F.lit(i).alias("spec"), *(F.lit(getattr(s, n)).alias(n) for n in ("system", "doc_type", "license", "publishable"))) for i, s in enumerate(sources)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
