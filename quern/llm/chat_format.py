@@ -12,8 +12,8 @@ before the anti-join, so a first turn shared by a third of the conversations is
 Defined results
     turns are ordered by turn (null first), ties by role and text; a null role renders as ``unknown``
     and a null text as empty; rows without a conv_id belong to no conversation and are left
-    out; turn rows that repeat count as turns of their own; an empty table gives an empty
-    result.
+    out; turn rows that repeat count as turns of their own; other columns are not read,
+    whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """conv_id, copies, n_turns, n_chars, rendered: one row per maximal conversation."""
-    kept = turns.where(F.col("conv_id").isNotNull()).join(maximal_conversations(turns).hint("merge"), "conv_id")
+    kept = turns.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", "role", "text").join(maximal_conversations(turns).hint("merge"), "conv_id")
     turn = F.struct("turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = kept.groupBy("conv_id", "copies").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     line = F.transform("t", lambda x: F.concat(F.lit(OPEN), x["role"], F.lit(CLOSE + "\n"), F.trim(x["text"]), F.lit("\n" + OPEN + "end" + CLOSE)))

@@ -27,6 +27,14 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def spare(docs: DataFrame, name: str) -> str:
+    """``name``, with as many ``_`` behind it as keep it apart from the columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.  Set here only where the cluster names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,7 +7,8 @@ corpus costs one row per task), the other moves ids and hashes.
 Defined results
     null text counts as the empty text, so nulls and empty texts are copies of each other;
     an empty table gives an empty result; rows that repeat a doc_id and text share that id and
-    all carry kept = true when it is the group's keeper; a null doc_id never wins over an id.
+    all carry kept = true when it is the group's keeper; a null doc_id never wins over an id;
+    further columns, whatever their names, are passed on by ``dedup`` as they are.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.common import spare
+
 
 def _variants(docs: DataFrame, text: Column, keep: str) -> DataFrame:
     """One row per distinct text: its hashes, keeper and count.
@@ -47,8 +50,9 @@ def dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
     keeper's row occur several times over, those rows are reduced to one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    keepers = _variants(docs.select("doc_id", "text"), text, keep).select(F.col("keep_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_sha2", F.sha2(text, 256))
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha2") == F.col("_sha"))
+    own, id_, sha = (spare(docs, n) for n in ("_own", "_id", "_sha"))
+    keepers = _variants(docs.select("doc_id", "text"), text, keep).select(F.col("keep_id").alias(id_), F.col("text_sha256").alias(sha))
+    rows = docs.withColumn(own, F.sha2(text, 256))
+    match = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(sha))
     held = rows.join(keepers.hint("merge"), match, "left_semi")
-    return held.dropDuplicates(["doc_id", "_sha2"]).select(*docs.columns)
+    return held.dropDuplicates(["doc_id", own]).drop(own)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.llm.common import bounded_batches, through_table
+from quern.llm.common import bounded_batches, spare, through_table
 from quern.llm.components import components
 
 WORDS = 5
@@ -640,6 +640,6 @@ def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PI
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component."""
-    found = jaccard_components(docs)
-    kept = through_table(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "jaccard-kept")
-    return docs.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    found, own = jaccard_components(docs), spare(docs, "_id")
+    kept = through_table(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct(), "jaccard-kept")
+    return docs.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(own)), "left_semi")

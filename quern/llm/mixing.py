@@ -14,7 +14,8 @@ Defined results
     sources without a weight of their own share the queue ``rest`` (null sources too); when a
     source has run out of blocks its later slots stay empty and the others keep their order,
     so no document is dropped or repeated; the last block of a source may be short; an empty
-    table gives an empty result; rows that repeat an id each get a position.
+    table gives an empty result; rows that repeat an id each get a position; columns of the
+    input named like a result column (in any case) give way to it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from math import ceil, floor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.llm.common import spare
+
 #: Shares of the production mix; every other source shares ``rest``.
 SHARES = {"src0": 12, "src1": 8, "src2": 8, "src3": 8, "src4": 8, "src5": 6, "src6": 6, "src7": 6, "src8": 4, "src9": 4}
 REST_SHARE = 30
@@ -70,23 +73,26 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, rest: int = REST_
     total, digits = docs.count(), 1
     while chunk_rows * 16**digits < total:
         digits += 1
-    rows = docs.withColumns({"_queue": queue, "_key": key}).withColumn("_chunk", F.substring("_key", 1, digits))
-
-    inside = Window.partitionBy("_queue", "_chunk").orderBy("_key", "doc_id")
-    sizes = rows.groupBy("_queue", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_queue").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_queue", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1).join(offsets, ["_queue", "_chunk"])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_offset"))
+    results = ("queue", "block_no", "slot", "position")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in results])
+    line, hashed, chunk, size, offset, rank = (spare(docs, n) for n in ("_queue", "_key", "_chunk", "_n", "_offset", "_rank"))
+    rows = docs.withColumns({line: queue, hashed: key}).withColumn(chunk, F.substring(hashed, 1, digits))
+
+    inside = Window.partitionBy(line, chunk).orderBy(hashed, "doc_id")
+    sizes = rows.groupBy(line, chunk).agg(F.count(F.lit(1)).alias(size))
+    before = Window.partitionBy(line).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(line, chunk, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(offset))
+    ranked = rows.withColumn(rank, F.row_number().over(inside) - 1).join(offsets, [line, chunk])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col(offset))
 
     turn_of = F.array(*[F.array(*map(F.lit, x)) if x else F.array().cast("array<int>") for x in turns])
     share_of = F.array(*map(F.lit, weights))
     named = F.array(*[F.lit(n) if n is not None else F.lit("rest") for n in names])
-    block_no = F.floor(F.col("_rank") / F.lit(block)).cast("long")
-    share = F.element_at(share_of, F.col("_queue") + 1)
-    slot = F.floor(F.col("block_no") / share).cast("long") * period + F.element_at(F.element_at(turn_of, F.col("_queue") + 1), (F.col("block_no") % share + 1).cast("int"))
+    block_no = F.floor(F.col(rank) / F.lit(block)).cast("long")
+    share = F.element_at(share_of, F.col(line) + 1)
+    slot = F.floor(F.col("block_no") / share).cast("long") * period + F.element_at(F.element_at(turn_of, F.col(line) + 1), (F.col("block_no") % share + 1).cast("int"))
     placed = ranked.withColumn("block_no", block_no).withColumn("slot", slot)
-    return placed.select(*docs.columns, F.element_at(named, F.col("_queue") + 1).alias("queue"), "block_no", "slot", (F.col("slot") * block + F.col("_rank") % block).alias("position"))
+    return placed.select(*docs.columns, F.element_at(named, F.col(line) + 1).alias("queue"), "block_no", "slot", (F.col("slot") * block + F.col(rank) % block).alias("position"))
 
 
 def mix_sql(shares: dict[str, int] | None = None, rest: int = REST_SHARE, block: int = BLOCK) -> str:
