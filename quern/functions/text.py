@@ -79,6 +79,20 @@ def shingles(col: Column, k: int = 5) -> Column:
     return _bound(words(norm(col)), body)
 
 
+def shingle_hashes(col: Column, k: int = 5) -> Column:
+    """Distinct 64-bit hashes of the same shingles.
+
+    The words of a slice are hashed one after the other, so no shingle is ever put together as a
+    string; words hold no white space, so equal slices and equal shingles are the same thing.
+    """
+
+    def body(w: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, k)))
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(many))
+
+    return _bound(words(norm(col)), body)
+
+
 def char_ngrams(col: Column, n: int = 4) -> Column:
     """Distinct n-grams of the stream of lower-case letters and digits."""
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
+from quern.session import through_table
 
 
 def is_quality(col: Column, min_chars: int = 200, min_alpha: float = 0.5) -> Column:
@@ -107,11 +108,11 @@ def overlap_pairs(records: DataFrame, threshold: float = 0.75, k: int = 5, max_d
 
     Shingles in more than ``max_docs`` records are left out of ``shared`` (they say little) but
     count in the sizes.  The cap is this report's definition; counts come before any pairing,
-    so no list longer than it is built.
+    so no list longer than it is built.  Shingles are hashed once, into a table.
     """
-    sh = records.select("ord", F.explode(T.shingles(T.filled("text"), k)).alias("s")).select("ord", F.xxhash64("s").alias("h"))
-    sizes = sh.groupBy("ord").agg(F.count(F.lit(1)).alias("n"))
-    lists = sh.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("ord").alias("lo"), F.max("ord").alias("hi")).where((F.col("df") >= 2) & (F.col("df") <= max_docs)).select("h")
+    hashed = through_table(records.select("ord", T.shingle_hashes(T.filled("text"), k).alias("hs")).withColumn("n", F.size("hs").cast("long")))
+    sh, sizes = hashed.select("ord", F.explode("hs").alias("h")), hashed.select("ord", "n")
+    lists = sh.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= 2) & (F.col("df") <= max_docs)).select("h")
     held = sh.join(lists, "h")
     pairs = held.alias("x").join(held.alias("y"), "h").where(F.col("x.ord") < F.col("y.ord")).groupBy(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     sized = pairs.join(sizes.select(F.col("ord").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("ord").alias("b"), F.col("n").alias("nb")), "b")

@@ -267,8 +267,39 @@ s AS (SELECT chat, unnest(range(k)) AS slot, base, total FROM k)
 SELECT chat, slot, "user", assistant FROM s JOIN n ON n.place = (s.base + s.slot) % s.total"""
 
 
+_EDGES = f"""{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), held AS (SELECT g.* FROM g JOIN ok USING (h)),
+p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM held x JOIN held y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord),
+e AS (SELECT a, b, shared / least(len(s1.s), len(s2.s)) AS overlap FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75)"""
+# Best first, one record a step: a record is kept unless a neighbour already is.
+_KEEP = f"""WITH RECURSIVE edges AS (SELECT a, b, overlap FROM ({_EDGES} SELECT * FROM e) UNION ALL SELECT b, a, overlap FROM ({_EDGES} SELECT * FROM e)),
+worth AS (SELECT ord, verdict, round(wl, 4) AS w, length(text) AS n, source FROM ({_VERDICT} SELECT v.ord, verdict, wl, rec.text, source FROM v JOIN rec USING (ord)) WHERE ord IN (SELECT a FROM edges)),
+ranked AS (SELECT ord, row_number() OVER (ORDER BY CASE verdict WHEN 'OK' THEN 0 WHEN 'WARN' THEN 1 ELSE 2 END, w DESC, lower(coalesce(source, '')) LIKE '%.pdf', n DESC, coalesce(source, '') DESC, ord) AS place FROM worth),
+node AS (SELECT r.ord, r.place, list(edges.b) AS near FROM ranked r JOIN edges ON edges.a = r.ord GROUP BY ALL),
+step(place, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT node.place, CASE WHEN len(list_intersect(kept, near)) > 0 THEN kept ELSE list_append(kept, node.ord) END FROM step JOIN node ON node.place = step.place + 1),
+kept AS (SELECT unnest(kept) AS ord FROM (SELECT kept FROM step ORDER BY place DESC LIMIT 1)),
+drops AS (SELECT edges.a AS "drop", first(edges.b ORDER BY ranked.place) AS keep, first(edges.overlap ORDER BY ranked.place) AS overlap FROM edges JOIN kept ON kept.ord = edges.b JOIN ranked ON ranked.ord = edges.b WHERE edges.a NOT IN (SELECT ord FROM kept) GROUP BY edges.a)"""
+_TWICE = f"{_REC.replace('WITH rec AS', 'WITH base AS')}, rec AS (SELECT ord * 2 AS ord, text FROM base UNION ALL SELECT ord * 2 + 1 AS ord, {_REFLOW} AS text FROM base)"
+_IDS = f"""{_REC}, m AS (SELECT ord, text, sha1(text) AS id, {_VAL} AS val FROM rec),
+b AS (SELECT ord, CASE WHEN val OR NOT (SELECT bool_or(val) FROM m) AND id = (SELECT id FROM m ORDER BY strlen(text), id LIMIT 1) THEN 'val' ELSE 'train' END AS split,
+  [1] || list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::INTEGER + 3) || [2] AS ids FROM m),
+u AS (SELECT split, ord, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM b)"""
+_FAITHFUL = f"""{_REC}, p AS (SELECT ord, text AS old, {_REFLOW} AS new FROM rec), q AS (SELECT ord, old, new, {_ALNUM('old')} AS x, {_ALNUM('new')} AS y FROM p),
+h AS (SELECT *, list_filter(string_split(x, ''), lambda v: v <> '') AS cx, list_filter(string_split(y, ''), lambda v: v <> '') AS cy FROM q),
+g AS (SELECT *, {_GRAMS('x')} AS a, {_GRAMS('y')} AS b, regexp_extract_all(old, '[0-9]+(?:[.,/][0-9]+)?') AS n1, regexp_extract_all(new, '[0-9]+(?:[.,/][0-9]+)?') AS n2 FROM h),
+m AS (SELECT ord, old, new, len(a) AS n_old, len(b) AS n_new, len(list_intersect(a, b)) AS inter, len(list_filter(n2, lambda v: len(list_filter(n2, lambda z: z = v)) > len(list_filter(n1, lambda z: z = v)))) = 0 AS numbers_kept FROM g)
+SELECT ord, inter, n_old, n_new, numbers_kept, n_new > 0 AND n_old > 0 AND inter >= n_new * 0.8 AND inter >= n_old * 0.6 AND numbers_kept AND length(new) >= length(old) * 0.5 AS faithful FROM m"""
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "drop_list": f'{_KEEP} SELECT "drop", keep, overlap FROM drops',
+        "dup_clusters": f"{_KEEP} SELECT keep, count(*) AS drops, max(overlap) AS most FROM drops GROUP BY keep",
+        "repair_decision": f"""WITH f AS (SELECT ord, faithful FROM ({_FAITHFUL})), d AS ({_VERDICT.replace(_REC, _TWICE)} SELECT v.ord // 2 AS ord, v.ord % 2 AS new, verdict, round(wl, 4) AS w, round(caps, 4) AS c, text FROM v JOIN rec USING (ord)),
+j AS (SELECT o.ord, o.verdict AS old_verdict, n.verdict AS new_verdict, faithful, o.text = '' AS blank,
+  CASE WHEN o.verdict = n.verdict THEN n.w >= o.w + 0.02 AND n.c <= o.c ELSE list_position(['BAD', 'WARN', 'OK'], n.verdict) > list_position(['BAD', 'WARN', 'OK'], o.verdict) END AS better
+  FROM d o JOIN d n ON n.ord = o.ord AND n.new = 1 JOIN f ON f.ord = o.ord WHERE o.new = 0),
+r AS (SELECT *, CASE WHEN blank OR old_verdict = 'OK' THEN 'passed' WHEN NOT faithful THEN 'unfaithful' WHEN better THEN 'improved+faithful' ELSE 'not_improved' END AS reason FROM j)
+SELECT ord, old_verdict, new_verdict, CASE WHEN reason = 'improved+faithful' THEN 'replace' ELSE 'keep' END AS action, reason FROM r""",
+        "packed_windows": f"{_IDS}, w AS (SELECT split, id, (row_number() OVER (PARTITION BY split ORDER BY ord, i) - 1) // 1024 AS \"window\" FROM u) SELECT split, \"window\", count(*) AS n, sum(id)::BIGINT AS total FROM w GROUP BY split, \"window\"",
         "near_contained": f"{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), h AS (SELECT g.* FROM g JOIN ok USING (h)), p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM h x JOIN h y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord) SELECT a, b, shared FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75 AND shared / (len(s1.s) + len(s2.s) - shared) < 0.75",
         "classify_scores": f"{_KINDS} SELECT * FROM s",
         "classify_best": f"{_KINDS}, t AS (SELECT *, bestiary + adventure + rules AS total, greatest(bestiary, adventure, rules) AS top FROM s), u AS (SELECT *, top - (total - top - least(bestiary, adventure, rules)) AS lead FROM t) SELECT ord, CASE WHEN total = 0 THEN NULL WHEN bestiary = top THEN 'bestiary' WHEN adventure = top THEN 'adventure' ELSE 'rules' END AS doc_type, total > 0 AND coalesce(lead / nullif(total, 0), 0) >= 0.45 AS confident FROM u",
@@ -294,11 +325,7 @@ SELECT ord, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM k WHERE NOT
         "readable_docs": f"{_VERDICT} SELECT ord FROM v JOIN rec USING (ord) WHERE verdict <> 'BAD' AND {_GOOD}",
         "shingle_counts": f"{_SH} SELECT ord, len(s) AS n_shingles FROM sh",
         "overlap_pairs": f"{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), h AS (SELECT g.* FROM g JOIN ok USING (h)), p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM h x JOIN h y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord) SELECT a, b, shared FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75",
-        "faithfulness": f"""{_REC}, p AS (SELECT ord, text AS old, {_REFLOW} AS new FROM rec), q AS (SELECT ord, old, new, {_ALNUM('old')} AS x, {_ALNUM('new')} AS y FROM p),
-h AS (SELECT *, list_filter(string_split(x, ''), lambda v: v <> '') AS cx, list_filter(string_split(y, ''), lambda v: v <> '') AS cy FROM q),
-g AS (SELECT *, {_GRAMS('x')} AS a, {_GRAMS('y')} AS b, regexp_extract_all(old, '[0-9]+(?:[.,/][0-9]+)?') AS n1, regexp_extract_all(new, '[0-9]+(?:[.,/][0-9]+)?') AS n2 FROM h),
-m AS (SELECT ord, old, new, len(a) AS n_old, len(b) AS n_new, len(list_intersect(a, b)) AS inter, len(list_filter(n2, lambda v: len(list_filter(n2, lambda z: z = v)) > len(list_filter(n1, lambda z: z = v)))) = 0 AS numbers_kept FROM g)
-SELECT ord, inter, n_old, n_new, numbers_kept, n_new > 0 AND n_old > 0 AND inter >= n_new * 0.8 AND inter >= n_old * 0.6 AND numbers_kept AND length(new) >= length(old) * 0.5 AS faithful FROM m""",
+        "faithfulness": _FAITHFUL,
         "val_split": f"{_REC} SELECT ord, {_VAL} AS val FROM rec",
         "token_offsets": f"{_REC}, t AS (SELECT ord, CASE WHEN {_VAL} THEN 'val' ELSE 'train' END AS split, len({_WORDS('text')}) AS n_tokens FROM rec) SELECT ord, split, n_tokens, coalesce(sum(n_tokens) OVER (PARTITION BY split ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS \"offset\" FROM t",
         "turn_pairs": _PAIRS,

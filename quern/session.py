@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "quern", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -36,3 +37,11 @@ def ship(spark: SparkSession) -> None:
                 z.write(file, file.relative_to(package.parent))
     context.addPyFile(str(archive))
     context._quern_shipped = True
+
+
+def through_table(df: DataFrame) -> DataFrame:
+    """``df`` through a table in the shared folder, which cuts its lineage."""
+    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    path = f"{root.rstrip('/')}/pass-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
