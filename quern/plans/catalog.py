@@ -137,7 +137,7 @@ def per_source_cap(spark, sf):
 
 
 def padded_batches(spark, sf):
-    ids = F.transform(F.slice(T.words(T.filled("text")), 1, 64), lambda w: F.length(w))
+    ids = F.transform(T.words(T.filled("text")), lambda w: F.length(w))
     return sft.padded_batches(records(spark, sf).select("ord", ids.alias("ids"))).select("batch", "ord", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), F.array_join(F.col("targets").cast("array<string>"), " ").alias("targets"))
 
 
