@@ -15,6 +15,10 @@ The Jaccard distance d = 1 - |A & B| / |A | B| is a metric.  Documents link at d
     out over salted tasks, with ``PIVOTS`` pivots a round, until nothing is left.
 4.  *Components.*  Links inside regions (a star for each ball, never all pairs) give connected
     components; a component's id is the smallest doc_id in it.
+5.  *Link counts.*  Where they are asked for, every link is verified once: pairs inside a ball,
+    members of a ball against its window, and, of two balls, the later pivot's members as the
+    earlier one's guests.  Tasks return sums for each class, weighted by the rows of the classes
+    it links with, never the links themselves.
 
 Element counts are taken over the whole corpus, but only serve as the order in step 2: any
 order gives the same links.  Elements are 64-bit hashes of shingles, classes have 128-bit keys.
@@ -24,8 +28,9 @@ and a map of 2**``MAP_BITS`` bits (16 MB) of the elements that repeat at all.
 Defined results
     null and empty texts and texts of white space have an empty set, n_shingles 0, and link
     with nothing; fewer than five words make one shingle; repeated rows link with each other;
-    rows without a doc_id take part with the smallest id of their class; an empty table gives
-    an empty result; very long texts are read whole.
+    rows without a doc_id take part with the smallest id of their class (a class without any
+    takes no part: its rows link with each other only); an empty table gives an empty result;
+    very long texts are read whole.  A row's n_links is the number of other rows it links with.
 """
 
 from __future__ import annotations
@@ -53,6 +58,8 @@ HEAVY, MAP_BITS = 1 << 17, 27
 REGION, PIVOTS = 512, 16
 #: Elements gathered before they are packed for a shuffle.
 CHUNK = 1 << 19
+#: Cells of a matrix of sets by elements; wider ones are multiplied in parts.
+CELLS = 1 << 22
 
 _U = np.uint64
 _BASE, _STEP, _SHORT = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -414,14 +421,45 @@ class Union:
         self.up[max(i, j)] = min(i, j)
 
 
-def join_region(sets: list[np.ndarray]) -> list[int]:
-    """The component of each set of a region (the least position in it), exactly.
+def shared_pairs(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many elements each set of ``left`` shares with each of ``right`` (or of ``left``)."""
+    sets, n = [*left, *(right or [])], len(left)
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, ids, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    again = times > 1
+    ids, rows = (np.cumsum(again) - 1)[ids[again[ids]]], rows[again[ids]]
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], rows[order]
+    width, total = max(1, CELLS // len(sets)), int(again.sum())
+    out = np.zeros((n, n if right is None else len(right)), np.int64)
+    for low in range(0, total, width):
+        a, b = np.searchsorted(ids, [low, low + width])
+        part = np.zeros((len(sets), min(width, total - low)), np.float32)
+        part[rows[a:b], ids[a:b] - low] = 1
+        out += (part[:n] @ (part if right is None else part[n:]).T).astype(np.int64)
+    return out
+
+
+def links_between(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Which sets of ``left`` link with which of ``right`` (or with which others of ``left``)."""
+    n_a = np.array([len(s) for s in left])[:, None]
+    n_b = n_a.T if right is None else np.array([len(s) for s in right])
+    out = linked(shared_pairs(left, right), n_a, n_b)
+    if right is None:
+        np.fill_diagonal(out, False)
+    return out
+
+
+def join_region(sets: list[np.ndarray], weight: np.ndarray | None = None) -> tuple[list[int], np.ndarray]:
+    """The component of each set of a region (the least position in it), exactly; with a
+    ``weight`` of each set also the weights of all sets it links with, added up.
 
     Each pivot takes its ball out of the region for good: whatever links with a member lies in
     the ball or in its window, and the window is compared before the ball leaves.
     """
     held, parts = Sets(sets), Union(len(sets))
     left = np.ones(len(sets), bool)
+    links = np.zeros(len(sets), np.int64)
     while left.any():
         p = int(np.argmax(left))
         inter = held.shared(p)
@@ -431,26 +469,55 @@ def join_region(sets: list[np.ndarray]) -> list[int]:
             parts.join(p, x)
         ball = np.flatnonzero(link & left)
         window = np.flatnonzero(left & ~link & (distance <= 2 * RADIUS + EPS))
-        for y in window.tolist():
-            if parts.find(y) == parts.find(p):
-                continue
-            near = ball[distance[ball] >= distance[y] - RADIUS - EPS]
-            if len(near) and linked(held.shared(y, near), held.n[y], held.n[near]).any():
-                parts.join(p, y)
+        if weight is None:
+            for y in window.tolist():
+                if parts.find(y) == parts.find(p):
+                    continue
+                near = ball[distance[ball] >= distance[y] - RADIUS - EPS]
+                if len(near) and linked(held.shared(y, near), held.n[y], held.n[near]).any():
+                    parts.join(p, y)
+        else:
+            rest = ball[ball != p]
+            links[p] += weight[rest].sum()
+            links[rest] += weight[p]
+            if len(rest) > 1:
+                links[rest] += links_between([sets[i] for i in rest]) @ weight[rest]
+            if len(rest) and len(window):
+                rest = rest[distance[rest] >= distance[window].min() - RADIUS - EPS]
+            if len(rest) and len(window):
+                window = window[distance[window] <= distance[rest].max() + RADIUS + EPS]
+                found = links_between([sets[i] for i in rest], [sets[i] for i in window])
+                links[rest] += found @ weight[window]
+                links[window] += found.T @ weight[rest]
+                for y in window[found.any(axis=0)].tolist():
+                    parts.join(p, y)
         left[ball] = False
         left[p] = False
-    return [parts.find(i) for i in range(len(sets))]
+    return [parts.find(i) for i in range(len(sets))], links
+
+
+def _reached(found: np.ndarray) -> np.ndarray:
+    """The least position of each position's component, of a symmetric matrix of links."""
+    root = np.full(len(found), -1)
+    for i in range(len(found)):
+        if root[i] < 0:
+            root[i], front = i, [i]
+            while front:
+                new = np.flatnonzero(found[front.pop()] & (root < 0))
+                root[new] = i
+                front += new.tolist()
+    return root
 
 
 def _set_of(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u8")
 
 
-def join_regions(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """One pass over the texts of all regions: kind 0 rows (doc_id, comp) are done; kind 1 rows
-    hand on the sets of regions that are larger than a task takes.
+def join_regions(members: DataFrame, docs: DataFrame, count: bool = False) -> DataFrame:
+    """One pass over the texts of all regions: kind 0 rows (doc_id, comp, links) are done; kind 1
+    rows hand on the sets of regions that are larger than a task takes.
 
-    ``members`` has region, big, doc_id, k1, k2.  A text whose set is not the one expected
+    ``members`` has region, big, doc_id, k1, k2, weight; links are added up if ``count``.  A text whose set is not the one expected
     (another row under the same id) is left out.
     """
     rows = members.join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").hint("merge"), "doc_id")
@@ -458,27 +525,28 @@ def join_regions(members: DataFrame, docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("salt", F.pmod(salt, F.lit(1 << 20))).repartition("region", "salt").sortWithinPartitions("region")
 
     def run(batches):
-        for region, (big, ids, k1, k2, texts) in _runs(batches, "region", ("big", "doc_id", "k1", "k2", "text")):
-            own, sets = [], []
-            for i, a, b, t in zip(ids, k1, k2, texts, strict=True):
+        for region, (big, ids, k1, k2, weights, texts) in _runs(batches, "region", ("big", "doc_id", "k1", "k2", "weight", "text")):
+            own, sets, weight = [], [], []
+            for i, a, b, w, t in zip(ids, k1, k2, weights, texts, strict=True):
                 s = shingles(t)
                 if set_key(s) == (a, b):
                     own.append(i)
                     sets.append(s)
+                    weight.append(w)
             if not own:
                 continue
             if big[0]:
-                columns = [[1] * len(own), [region] * len(own), own, own, [s.astype("<u8").tobytes() for s in sets]]
+                columns = [[1] * len(own), [region] * len(own), own, own, weight, [0] * len(own), [s.astype("<u8").tobytes() for s in sets]]
             else:
-                parts = join_region(sets)
+                parts, links = join_region(sets, np.array(weight) if count else None)
                 least: dict[int, int] = {}
                 for i, p in zip(own, parts, strict=True):
                     least[p] = min(i, least.get(p, i))
-                columns = [[0] * len(own), [region] * len(own), own, [least[p] for p in parts], [None] * len(own)]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["kind", "region", "doc_id", "comp", "elements"])
+                columns = [[0] * len(own), [region] * len(own), own, [least[p] for p in parts], weight, links.tolist(), [None] * len(own)]
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["kind", "region", "doc_id", "comp", "weight", "links", "elements"])
 
-    return rows.mapInArrow(run, "kind int, region long, doc_id long, comp long, elements binary")
+    return rows.mapInArrow(run, "kind int, region long, doc_id long, comp long, weight long, links long, elements binary")
 
 
 def _salted(rows: DataFrame, sizes: DataFrame, per_task: int) -> DataFrame:
@@ -487,11 +555,13 @@ def _salted(rows: DataFrame, sizes: DataFrame, per_task: int) -> DataFrame:
     return rows.join(sizes.withColumn("salts", salts), "region").withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("salts")).cast("int"))
 
 
-def pivot_round(active: DataFrame, turn: int, per_task: int = REGION, pivots: int = PIVOTS) -> DataFrame:
-    """One round over large regions.  ``active``: region, doc_id, elements.
+def pivot_round(active: DataFrame, turn: int, per_task: int = REGION, pivots: int = PIVOTS, count: bool = False) -> DataFrame:
+    """One round over large regions.  ``active``: region, doc_id, weight, elements.
 
     Rows out, by kind: 0 link (doc_id, other); 1 member of a ball (other: its pivot, gap: its
     distance); 2 boundary set of a ball's window (other: the pivot, gap); 3 still without a ball.
+    Windows leave out what is tied to the ball already, unless ``count``: then they hold every
+    set that may link with a member, but of two balls only the later one's sets (by pivot).
     Pivots are picked by hash, at most ``pivots`` from a region in any task before the shuffle,
     and copied to each of the region's tasks, where they come before the sets.
     """
@@ -500,11 +570,11 @@ def pivot_round(active: DataFrame, turn: int, per_task: int = REGION, pivots: in
     chosen = active.select("region", "doc_id").withColumn("rank", F.row_number().over(pick)).where(F.col("rank") <= pivots).select("region", "doc_id")
     spread = active.join(chosen, ["region", "doc_id"], "left_semi").join(sizes, "region")
     spread = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / per_task).cast("int") - 1)))
-    rows = spread.select("region", "salt", F.lit(0).alias("kind"), "doc_id", "elements").unionByName(_salted(active, sizes, per_task).select("region", "salt", F.lit(1).alias("kind"), "doc_id", "elements"))
+    rows = spread.select("region", "salt", F.lit(0).alias("kind"), "doc_id", "weight", "elements").unionByName(_salted(active, sizes, per_task).select("region", "salt", F.lit(1).alias("kind"), "doc_id", "weight", "elements"))
     rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "doc_id").withColumn("key", F.concat_ws(":", "region", "salt"))
 
     def run(batches):
-        for key, (kind, ids, blobs) in _runs(batches, "key", ("kind", "doc_id", "elements")):
+        for key, (kind, ids, weight, blobs) in _runs(batches, "key", ("kind", "doc_id", "weight", "elements")):
             region = int(key.split(":")[0])
             sets = [_set_of(b) for b in blobs]
             n_pivots = sum(k == 0 for k in kind)
@@ -515,107 +585,137 @@ def pivot_round(active: DataFrame, turn: int, per_task: int = REGION, pivots: in
             distance = 1 - inter / (n_p + held.n - inter)
             for p, q in zip(*np.nonzero(link[:, :n_pivots]), strict=True):
                 parts.join(int(p), int(q))
-            out: list[tuple[int, int, int, float, bytes | None]] = []
+            out: list[tuple[int, int, int, float, int, bytes | None]] = []
             for j in range(n_pivots, len(sets)):
                 reach = np.flatnonzero(link[:, j]).tolist()
                 tied = {parts.find(p) for p in reach}
                 for p in {parts.find(p): p for p in reach}.values():
-                    out.append((0, ids[j], ids[p], 0.0, None))
+                    out.append((0, ids[j], ids[p], 0.0, 0, None))
+                near = min(reach, key=lambda q: (distance[q, j], q)) if reach else n_pivots
                 if reach:
-                    p = min(reach, key=lambda q: (distance[q, j], q))
-                    out.append((1, ids[j], ids[p], float(distance[p, j]), blobs[j]))
+                    out.append((1, ids[j], ids[near], float(distance[near, j]), weight[j], blobs[j]))
                 else:
-                    out.append((3, ids[j], ids[j], 0.0, blobs[j]))
-                for p in np.flatnonzero(~link[:, j] & (distance[:, j] <= 2 * RADIUS + EPS)).tolist():
-                    if parts.find(p) not in tied:
-                        out.append((2, ids[j], ids[p], float(distance[p, j]), blobs[j]))
+                    out.append((3, ids[j], ids[j], 0.0, weight[j], blobs[j]))
+                for p in np.flatnonzero(distance[:, j] <= 2 * RADIUS + EPS).tolist():
+                    if p < near if count else not link[p, j] and parts.find(p) not in tied:
+                        out.append((2, ids[j], ids[p], float(distance[p, j]), weight[j], blobs[j]))
             # Pivots that link are one component; the first task of a region says so.
             if key.endswith(":0"):
-                out += [(0, ids[p], ids[parts.find(p)], 0.0, None) for p in range(n_pivots) if parts.find(p) != p]
-            cols = list(zip(*out, strict=True)) if out else [(), (), (), (), ()]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([region] * len(out), pa.int64())] + [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["region", "kind", "doc_id", "other", "gap", "elements"])
+                out += [(0, ids[p], ids[parts.find(p)], 0.0, 0, None) for p in range(n_pivots) if parts.find(p) != p]
+            cols = list(zip(*out, strict=True)) if out else [()] * 6
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([region] * len(out), pa.int64())] + [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["region", "kind", "doc_id", "other", "gap", "weight", "elements"])
+
+    return rows.select("key", "kind", "doc_id", "weight", "elements").mapInArrow(run, "region long, kind int, doc_id long, other long, gap double, weight long, elements binary")
+
 
-    return rows.select("key", "kind", "doc_id", "elements").mapInArrow(run, "region long, kind int, doc_id long, other long, gap double, elements binary")
+def _sums(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "n"])
 
 
-def window_links(result: DataFrame, per_task: int = REGION) -> DataFrame:
-    """Links (a, b) between the balls of a round and the sets of their windows.
+def window_links(result: DataFrame, per_task: int = REGION, count: bool = False) -> DataFrame:
+    """Links (a, b) between the balls of a round and the sets of their windows.  n: if ``count``,
+    the weights of all sets that a links with there, b among them.
 
     A ball's members and its window are dealt over a grid of tasks by two salts, so neither a
     large ball nor a large window meets in one task.  Only members far enough from the pivot
     (triangle inequality, against the window's nearest set) are sent.
     """
-    window = result.where("kind = 2").select("region", "other", "doc_id", "gap", "elements")
+    window = result.where("kind = 2").select("region", "other", "doc_id", "gap", "weight", "elements")
     extent = window.groupBy("region", "other").agg(F.min("gap").alias("nearest"), F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("columns"))
-    ball = result.where("kind = 1").select("region", "other", "doc_id", "gap", "elements").join(extent, ["region", "other"]).where(F.col("gap") >= F.col("nearest") - RADIUS - EPS)
+    ball = result.where("kind = 1").select("region", "other", "doc_id", "gap", "weight", "elements").join(extent, ["region", "other"]).where(F.col("gap") >= F.col("nearest") - RADIUS - EPS)
     tall = ball.groupBy("region", "other").agg(F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("lines"))
     both = extent.join(tall, ["region", "other"])
     cell = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col(n)).cast("int")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = ball.drop("nearest", "columns").join(both, ["region", "other"]).withColumn("line", cell("lines")).withColumn("column", span("columns"))
     guests = window.join(both, ["region", "other"]).withColumn("column", cell("columns")).withColumn("line", span("lines"))
-    keep = ["other", "line", "column", "doc_id", "gap", "elements"]
+    keep = ["other", "line", "column", "doc_id", "gap", "weight", "elements"]
     rows = members.select(*keep, F.lit(0).alias("kind")).unionByName(guests.select(*keep, F.lit(1).alias("kind")))
     rows = rows.repartition("other", "line", "column").sortWithinPartitions("other", "line", "column", "kind").withColumn("key", F.concat_ws(":", "other", "line", "column"))
 
     def run(batches):
-        for _, (kind, ids, gap, blobs) in _runs(batches, "key", ("kind", "doc_id", "gap", "elements")):
-            held = Sets([_set_of(b) for b in blobs])
-            gap, n_ball = np.array(gap), sum(k == 0 for k in kind)
-            found = []
+        for _, (kind, ids, gap, weight, blobs) in _runs(batches, "key", ("kind", "doc_id", "gap", "weight", "elements")):
+            sets, n_ball, found = [_set_of(b) for b in blobs], sum(k == 0 for k in kind), []
+            if count:
+                if 0 < n_ball < len(ids):
+                    link = links_between(sets[:n_ball], sets[n_ball:])
+                    sums = np.concatenate([link @ np.array(weight[n_ball:]), link.T @ np.array(weight[:n_ball])])
+                    first = np.concatenate([n_ball + link.argmax(axis=1), link.argmax(axis=0)])
+                    found = [(ids[i], ids[int(first[i])], int(sums[i])) for i in np.flatnonzero(sums)]
+                yield _sums(found)
+                continue
+            held, gap = Sets(sets), np.array(gap)
             for y in range(n_ball, len(ids)):
                 near = np.flatnonzero(gap[:n_ball] >= gap[y] - RADIUS - EPS)
                 hit = near[linked(held.shared(y, near), held.n[y], held.n[near])] if len(near) else near
                 if len(hit):  # the ball is one component: one link says all
-                    found.append((ids[y], ids[int(hit[0])]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                    found.append((ids[y], ids[int(hit[0])], 0))
+            yield _sums(found)
 
-    return rows.select("key", "kind", "doc_id", "gap", "elements").mapInArrow(run, "a long, b long")
+    return rows.select("key", "kind", "doc_id", "gap", "weight", "elements").mapInArrow(run, "a long, b long, n long")
 
 
-def block_links(active: DataFrame, per_task: int = REGION) -> DataFrame:
+def block_links(active: DataFrame, per_task: int = REGION, count: bool = False) -> DataFrame:
     """Links inside regions whose sets are mostly far apart, where pivots gain little: each
-    pair of blocks of a region is joined in a task of its own."""
+    pair of blocks of a region is joined in a task of its own.  If ``count``, a row (a, b, n) says
+    that a links with sets of weight n in such a task, and has b in its component there."""
     sizes = active.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
     dealt = _salted(active, sizes, max(1, per_task // 2))
     pairs = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda o: F.struct(F.least(o, F.col("salt")).alias("i"), F.greatest(o, F.col("salt")).alias("j")))
-    rows = dealt.withColumn("cell", F.explode(pairs)).select(F.concat_ws(":", "region", "cell.i", "cell.j").alias("key"), "doc_id", "elements")
-    rows = rows.repartition("key").sortWithinPartitions("key")
+    rows = dealt.withColumn("cell", F.explode(pairs)).select(F.concat_ws(":", "region", "cell.i", "cell.j").alias("key"), (F.col("salt") > F.col("cell.i")).alias("second"), "doc_id", "weight", "elements")
+    rows = rows.repartition("key").sortWithinPartitions("key", "second")
 
     def run(batches):
-        for _, (ids, blobs) in _runs(batches, "key", ("doc_id", "elements")):
-            parts = join_region([_set_of(b) for b in blobs])
-            found = [(ids[i], ids[p]) for i, p in enumerate(parts) if p != i]
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        for key, (second, ids, weight, blobs) in _runs(batches, "key", ("second", "doc_id", "weight", "elements")):
+            sets = [_set_of(b) for b in blobs]
+            if not count:
+                parts, _ = join_region(sets)
+                yield _sums([(ids[i], ids[p], 0) for i, p in enumerate(parts) if p != i])
+                continue
+            _, i, j = key.rsplit(":", 2)
+            n, link = len(sets) - sum(second), np.zeros((len(sets), len(sets)), bool)
+            if i == j:
+                link = links_between(sets)
+            elif 0 < n < len(sets):  # pairs inside a block have a task of their own
+                link[:n, n:] = links_between(sets[:n], sets[n:])
+                link |= link.T
+            root, sums = _reached(link), link @ np.array(weight)
+            yield _sums([(ids[x], ids[int(root[x])], int(sums[x])) for x in np.flatnonzero(sums)])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long, n long")
 
 
-def join_large(active: DataFrame, per_task: int = REGION, pivots: int = PIVOTS) -> DataFrame:
-    """doc_id, comp of the sets of large regions.  ``active``: region, doc_id, elements."""
+def join_large(active: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, count: bool = False) -> DataFrame:
+    """doc_id, comp, links of the sets of large regions.  ``active``: region, doc_id, weight, elements."""
     links = None
     left, turn = active.count(), 0
     while left:
-        result = through_table(pivot_round(active, turn, per_task, pivots), "jaccard-round")
-        found = result.where("kind = 0").select(F.col("doc_id").alias("a"), F.col("other").alias("b")).unionByName(window_links(result, per_task))
-        active = result.where("kind = 3").select("region", "doc_id", "elements")
+        result = through_table(pivot_round(active, turn, per_task, pivots, count), "jaccard-round")
+        found = result.where("kind = 0").select(F.col("doc_id").alias("a"), F.col("other").alias("b"), F.lit(0).cast("long").alias("n")).unionByName(window_links(result, per_task, count))
+        if count:
+            balls = result.where("kind = 1").select(F.col("other").alias("region"), "doc_id", "weight", "elements")
+            found = found.unionByName(block_links(balls, per_task, count))
+        active = result.where("kind = 3").select("region", "doc_id", "weight", "elements")
         after = active.count()
         if after and after > 0.7 * left:
-            found, after = found.unionByName(block_links(active, per_task)), 0
-        found = through_table(found.distinct(), "jaccard-links")
+            found, after = found.unionByName(block_links(active, per_task, count)), 0
+        found = through_table(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         left, turn = after, turn + 1
     if links is None:
-        return active.select("doc_id", F.col("doc_id").alias("comp"))
-    return components(links, "jaccard-large").select(F.col("node").alias("doc_id"), F.col("root").alias("comp"))
+        return active.select("doc_id", F.col("doc_id").alias("comp"), F.lit(0).cast("long").alias("links"))
+    roots = components(links.select("a", "b"), "jaccard-large").select(F.col("node").alias("doc_id"), F.col("root").alias("comp"))
+    if not count:
+        return roots.withColumn("links", F.lit(0).cast("long"))
+    return roots.join(links.groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("links")).hint("merge"), "doc_id", "left").select("doc_id", "comp", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-# ---------------------------------------------------------------- 4. all of it
+# ---------------------------------------------------------------- 4. and 5. all of it
 
 
-def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row of ``docs``."""
+def _joined(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_bits: int, count: bool) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (right only if ``count``): one row per row of ``docs``."""
     bounded_batches(docs.sparkSession)
     keys = through_table(classes_of(docs), "jaccard-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
@@ -626,16 +726,27 @@ def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PI
     size = max(bits + 3, min(map_bits, max(1, total).bit_length() + 1))
     edges = region_edges(docs, bits, heavy, counts, repeated_map(table, bits, size))
     regions = components(edges, "jaccard-regions").select(F.col("node").alias("k1"), F.col("root").alias("region"))
-    classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    members = classes.where("rep is not null").join(regions, "k1").select("region", F.col("rep").alias("doc_id"), "k1", "k2")
+    classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
+    members = classes.where("rep is not null").join(regions, "k1").select("region", F.col("rep").alias("doc_id"), "k1", "k2", "weight")
     sizes = members.groupBy("region").agg((F.count(F.lit(1)) > per_task).alias("big"))
-    done = through_table(join_regions(members.join(sizes, "region"), docs), "jaccard-regions-done")
+    done = through_table(join_regions(members.join(sizes, "region"), docs, count), "jaccard-regions-done")
 
-    large = join_large(done.where("kind = 1").select("region", "doc_id", "elements"), per_task, pivots)
-    found = done.where("kind = 0 and comp <> doc_id").select("doc_id", "comp").unionByName(large.where("comp <> doc_id").select("doc_id", "comp"))
-    named = classes.join(found.withColumnRenamed("doc_id", "rep").hint("merge"), "rep", "left").select("n", "k1", "k2", F.coalesce("comp", "rep").alias("comp"))
+    large = join_large(done.where("kind = 1").select("region", "doc_id", "weight", "elements"), per_task, pivots, count)
+    tied = "comp <> doc_id or links > 0"
+    found = done.where("kind = 0").where(tied).select("doc_id", "comp", "links").unionByName(large.where(tied))
+    named = classes.join(found.withColumnRenamed("doc_id", "rep").hint("merge"), "rep", "left").select("n", "k1", "k2", F.coalesce("comp", "rep").alias("comp"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
     joined = keys.join(named.hint("merge"), ["n", "k1", "k2"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row of ``docs``."""
+    return _joined(docs, per_task, pivots, heavy_limit, map_bits, False).drop("n_links")
+
+
+def jaccard_links(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links: one row per row of ``docs``."""
+    return _joined(docs, per_task, pivots, heavy_limit, map_bits, True)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
