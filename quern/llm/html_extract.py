@@ -3,8 +3,11 @@
 The page is parsed into a tree of elements.  Each paragraph earns points for its length and
 its commas; its parent gets them whole, the grandparent half, further ancestors a third
 divided by the distance, each time discounted by the paragraph's link density.  The container
-with the most points after its own link-density discount is the article; siblings of it that
-score a fifth as much, or that are long paragraphs with few links, are kept with it.  Elements
+with the most points after its own link-density discount marks the article.  Where it lies in
+an article or main element, the outermost of these is taken whole, headings, lists and short
+blocks included; beside it, further such elements, siblings that score a fifth as much, and
+long paragraphs with few links are kept.  On other pages the container is taken whole, and from
+the blocks around it, up to the body, all but those that are half links or more.  Elements
 that are furniture by tag or by name (menus, headers, footers, side bars, notices, adverts,
 forms, scripts, comments) are cut out before scoring and from the result.
 
@@ -28,6 +31,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROP = frozenset("head script style noscript template iframe object svg math canvas nav aside footer form button select textarea input dialog menu".split())
 BLOCK = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 PARAGRAPH = frozenset("p pre blockquote td li dd".split())
+#: Elements whose content is all main text, furniture apart.
+WHOLE = frozenset(("article", "main"))
 #: Words of a class or id that mark furniture (compared after splitting at - _ and spaces).
 FURNITURE = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related reply replies share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split())
 #: An open element of the key is closed by a start tag of its set.
@@ -118,6 +123,28 @@ def _measure(node: Node) -> tuple[int, int, int]:
     return chars, commas, linked
 
 
+def _pieces(node: Node) -> list[list[Node | str]]:
+    """A node's children: each block by itself, what runs between blocks together."""
+    out: list[list[Node | str]] = []
+    run = False
+    for child in node.children:
+        block = isinstance(child, Node) and (child.tag in BLOCK or child.dropped or bool(child.score))
+        if run and not block:
+            out[-1].append(child)
+        else:
+            out.append([child])
+        run = not block
+    return out
+
+
+def _density(piece: list[Node | str]) -> float:
+    """The share of a piece's characters that is inside links."""
+    whole = Node("#piece", None)
+    whole.children = piece
+    chars, _, linked = _measure(whole)
+    return linked / chars if chars else 1.0
+
+
 def _blocks(node: Node) -> list[str]:
     """The text of each block below a node, in page order."""
     out: list[str] = []
@@ -176,16 +203,31 @@ def extract(html: str) -> str:
             best, most = node, score
     if not scored or best.parent is None:
         return "\n".join(_blocks(tree.root))
-    out: list[str] = []
-    for child in best.parent.children:
-        if child is best:
-            out += _blocks(best)
-        elif isinstance(child, Node) and not child.dropped:
-            chars, _, linked = _measure(child)
-            density = linked / chars if chars else 1.0
-            if child.score * (1 - density) >= most / 5 or child.tag == "p" and chars > 80 and density < 0.25:
-                out += _blocks(child)
-    return "\n".join(out)
+    whole, up = None, best
+    while up is not None:
+        if up.tag in WHOLE:
+            whole = up
+        up = up.parent
+    at = whole or best
+    while at.parent is not None:
+        kept: list[Node | str] = []
+        for piece in _pieces(at.parent):
+            if len(piece) == 1 and piece[0] is at:
+                kept.append(at)
+                continue
+            density, (first, *more) = _density(piece), piece
+            strong = False
+            if not more and isinstance(first, Node):
+                strong = first.score * (1 - density) >= most / 5 or first.tag in WHOLE or first.tag == "p" and density < 0.25 and _measure(first)[0] > 80
+            if strong or whole is None and density < 0.5:
+                kept += piece
+            else:
+                kept.append(Node("div", at.parent))  # keeps its neighbours apart
+        at.parent.children = kept
+        at = at.parent
+        if whole is not None:
+            break
+    return "\n".join(_blocks(at))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
