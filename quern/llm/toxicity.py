@@ -36,7 +36,6 @@ from quern.llm.common import bounded_batches, codepoints, fold, labelled_docs, m
 PER_CLASS = 3000
 #: Lengths of the word beginnings tried, and the likelihood ratio that an entry has to reach.
 PREFIXES, LEAST_RATIO, LEAST_ODDS = (4, 5, 6), 16.0, 2.0
-MOST_ENTRIES = 20_000
 PIECE = 1 << 21
 
 # Look-alike letters, and digits and symbols used as letters.
@@ -168,6 +167,22 @@ def _counting(rows: DataFrame, features, name: str) -> DataFrame:
     return rows.select("text").mapInArrow(run, "f string, n long").groupBy("f").agg(F.sum("n").alias(name))
 
 
+def _paired(left: DataFrame, right: DataFrame) -> DataFrame:
+    """f, n, m: the counts n of ``left`` with those of ``right`` beside them."""
+    return left.join(right.hint("merge"), "f", "left").select("f", "n", F.coalesce("m", F.lit(0)).cast("long").alias("m"))
+
+
+def _where(pairs: DataFrame, test) -> DataFrame:
+    """The rows of ``_paired`` whose counts pass ``test``."""
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in "nm")
+            yield batch.filter(pa.array([test(a, b) for a, b in zip(n, m, strict=True)], pa.bool_()))
+
+    return pairs.mapInArrow(run, "f string, n long, m long")
+
+
 def fit_lexicon(docs: DataFrame, labels: DataFrame, train: Column | None = None, per_class: int = PER_CLASS) -> Lexicon:
     sample = labelled_docs(docs, labels, "toxic", F.lit(True) if train is None else train, per_class).persist()
     try:
@@ -179,25 +194,22 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train: Column | None = None,
         def all_features(text: str) -> set[str]:
             return {f for w in set(fold_text(text).split()) for f in word_features(w)}
 
-        bad = _counting(sample.where("toxic = 1"), all_features, "n").where("n >= 3").orderBy(F.desc("n"), "f").limit(MOST_ENTRIES)
-        in_bad = {r.f: r.n for r in bad.collect()}
-        wanted = frozenset(in_bad)
-        in_fine = {r.f: r.n for r in _counting(sample.where("toxic = 0"), lambda t: all_features(t) & wanted, "n").collect()}
-        weights = {}
-        for f, a in in_bad.items():
-            b = in_fine.get(f, 0)
-            odds = math.log((a + 0.5) / (n_bad + 1)) - math.log((b + 0.5) / (n_fine + 1))
-            if odds >= LEAST_ODDS and _ratio(a, n_bad, b, n_fine) >= LEAST_RATIO:
-                weights[f] = odds
+        def odds(a: int, b: int) -> float:
+            return math.log((a + 0.5) / (n_bad + 1)) - math.log((b + 0.5) / (n_fine + 1))
+
+        # Every entry is tested before any is collected, so common words crowd none out.
+        both = _paired(_counting(sample.where("toxic = 1"), all_features, "n").where("n >= 3"), _counting(sample.where("toxic = 0"), all_features, "m"))
+        telling = _where(both, lambda a, b: odds(a, b) >= LEAST_ODDS and _ratio(a, n_bad, b, n_fine) >= LEAST_RATIO)
+        weights = {r.f: odds(r.n, r.m) for r in telling.collect()}
         plain = Lexicon(weights)
 
         def contexts(text: str) -> set[str]:
             folded = fold_text(text)
             return {" ".join(c) for start, (word, _) in plain.matches(folded).items() for c in plain.contexts(folded, start, word)}
 
-        fine = {r.f: r.n for r in _counting(sample.where("toxic = 0"), contexts, "n").where("n >= 3").orderBy(F.desc("n"), "f").limit(MOST_ENTRIES).collect()}
-        foul = {r.f: r.n for r in _counting(sample.where("toxic = 1"), lambda t: contexts(t) & fine.keys(), "n").collect()} if fine else {}
-        exceptions = frozenset(tuple((f.split(" ") + [""])[:2]) for f, n in fine.items() if n * n_bad > 4 * foul.get(f, 0) * n_fine)
+        both = _paired(_counting(sample.where("toxic = 0"), contexts, "n").where("n >= 3"), _counting(sample.where("toxic = 1"), contexts, "m"))
+        harmless = _where(both, lambda fine, foul: fine * n_bad > 4 * foul * n_fine)
+        exceptions = frozenset(tuple((r.f.split(" ") + [""])[:2]) for r in harmless.collect())
         lexicon = Lexicon(weights, exceptions)
         measured = map_texts(sample, lambda t: (lexicon.measure(t),), [("m", pa.float64())], "m double", ["toxic"]).collect()
         lexicon.threshold = _best_threshold([(r.m, r.toxic) for r in measured])
