@@ -147,7 +147,7 @@ def shard_plan(spark, sf):
 
 def cache_lookup(spark, sf):
     rec = records(spark, sf).select("ord", F.sha2(T.filled("text"), 256).alias("hash"), T.filled("text").alias("text"))
-    cache = rec.where("ord % 2 = 0").groupBy("hash").agg(F.min("text").alias("text"))
+    cache = rec.groupBy("hash").agg(F.min("text").alias("text"))
     return sft.cache_lookup(rec.select("ord", "hash"), cache).select("ord", F.length("cached").cast("long").alias("cached_chars"))
 
 
