@@ -11,9 +11,9 @@ The item index is what tasks carry.  Its size is checked: beyond ``SLICE_CHARS``
 is dealt into slices and the documents are read once for each.
 
 Defined results
-    null and empty texts contain nothing; null items, and items with fewer than ``MIN_CHARS``
-    letters and digits, are too short to be evidence and match nothing; items with equal text
-    all match; an empty benchmark leaves every document clean; an empty table gives an empty
+    null and empty texts contain nothing; items without any letter or digit match nothing;
+    items with fewer than ``Q`` of them have no q-gram and match as whole words, without edits,
+    whatever stands between the words; items with equal text all match; an empty benchmark leaves every document clean; an empty table gives an empty
     result; repeated rows get equal results; very long texts are read whole.
 """
 
@@ -32,7 +32,6 @@ from quern.llm.common import bounded_batches, codepoints
 Q = 10
 #: Edits allowed, as a share of an item's length.
 EDIT_SHARE = 0.08
-MIN_CHARS = 20
 #: Characters of benchmark text that one index holds.
 SLICE_CHARS = 2_000_000
 TABLE_BITS = 20
@@ -53,6 +52,14 @@ def letters(text: str) -> tuple[np.ndarray, np.ndarray]:
     return cp[at], at
 
 
+def words_of(cp: np.ndarray, at: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The words of what ``letters`` gives, and where each begins in it (and the end)."""
+    start = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1])) if len(at) else np.zeros(0, np.int64)
+    start = np.append(start, len(cp))
+    whole = cp.astype("<u4").tobytes().decode("utf-32-le")
+    return [whole[a:b] for a, b in zip(start[:-1].tolist(), start[1:].tolist(), strict=True)], start
+
+
 def _power(k: int) -> np.uint64:
     return np.uint64(pow(int(_P), k, 1 << 64))
 
@@ -96,11 +103,15 @@ class Index:
     def __init__(self, rows: list[tuple[int, str]], edit_share: float = EDIT_SHARE, q: int = Q):
         self.q = q
         self.items: list[Item] = []
+        #: Items without a q-gram, by their words.
+        self.short: dict[tuple[str, ...], list[int]] = {}
         hashes, owners, places = [], [], []
         for item_id, text in rows:
-            cp, _ = letters(text or "")
+            cp, at = letters(text or "")
             m = len(cp)
-            if m < max(MIN_CHARS, q):
+            if m < q:
+                if m:
+                    self.short.setdefault(tuple(words_of(cp, at)[0]), []).append(item_id)
                 continue
             edits = min(int(edit_share * m), (m - q) // q)
             h = qgram_hashes(cp, q)
@@ -123,9 +134,26 @@ class Index:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, start, end, edits) of each item found, at its best place."""
-        if not self.items or len(text) < self.q:
+        if not self.items and not self.short:
             return []
         cp, at = letters(text)
+        return self._find_long(text, cp, at) + self._find_short(cp, at)
+
+    def _find_short(self, cp: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        if not self.short or not len(cp):
+            return []
+        words, start = words_of(cp, at)
+        first: dict[tuple[str, ...], int] = {}
+        for n in {len(key) for key in self.short}:
+            for i in range(len(words) - n + 1):
+                key = tuple(words[i : i + n])
+                if key in self.short:
+                    first.setdefault(key, i)
+        return [(item_id, int(at[start[i]]), int(at[start[i + len(key)] - 1]) + 1, 0) for key, i in first.items() for item_id in self.short[key]]
+
+    def _find_long(self, text: str, cp: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        if not self.items or len(text) < self.q:
+            return []
         h = qgram_hashes(cp, self.q)
         where = np.flatnonzero(self.bits[_slot(h)])
         if len(where) < self.least.min():
