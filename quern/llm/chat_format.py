@@ -27,10 +27,10 @@ OPEN, CLOSE = "<|", "|>"
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """conv_id, k (turns so far), n (turns in all), p1, p2: one row per turn."""
     rows = turns.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    # The text is hashed before the shuffle: the window sorts digests, not texts.
-    slim = rows.select("conv_id", "turn", "role", F.md5("text").alias("m"), F.xxhash64("text", F.lit(11)).alias("x"), F.substring("text", 1, 64).alias("head"))
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "head", "m")
-    placed = slim.withColumn("k", F.row_number().over(order))
+    # The whole text orders ties, as in the rendering; only the digests go beyond this window.
+    hashed = rows.withColumns({"m": F.md5("text"), "x": F.xxhash64("text", F.lit(11))})
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    placed = hashed.withColumn("k", F.row_number().over(order))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return placed.select(
         "conv_id",
