@@ -43,28 +43,34 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
+def _add(counts: np.ndarray, h: np.ndarray) -> None:
+    h = h ^ (h >> np.uint32(15))
+    h = h * np.uint32(0x2C1B3C6D)
+    counts += np.bincount((h >> np.uint32(20)).astype(np.int64), minlength=PLACES)
+
+
 def ngram_counts(text: str) -> np.ndarray | None:
-    """Hashed 2- and 3-gram counts of a whole text; None where it has no letter."""
+    """Hashed 2- and 3-gram counts of a whole text, words between blanks; None where it has no letter."""
     counts, seen, tail = np.zeros(PLACES, np.int64), False, np.array([32], np.uint32)
     table = _letters()
-    for at in range(0, len(text), PIECE):
-        cp = codepoints(text[at : at + PIECE].lower())
+    for at in range(0, len(text) + PIECE, PIECE):
+        # After the last piece comes a closing blank.
+        cp = codepoints(text[at : at + PIECE].lower() or " ")
         letter = table[cp]
         seen = seen or bool(letter.any())
         cp = np.where(letter, cp, np.uint32(32))
         cp = np.concatenate([tail, cp])
         blank = cp == 32
         cp = cp[~(blank & np.concatenate([[False], blank[:-1]]))]
+        two = cp[:-1] * np.uint32(0x9E3779B1) + cp[1:] * np.uint32(0x85EBCA77)
         if len(cp) >= 3:
-            a, b, c = cp[:-2], cp[1:-1], cp[2:]
-            two = a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77)
-            three = two + c * np.uint32(0xC2B2AE3D)
-            for h in (two, three ^ np.uint32(0x27D4EB2F)):
-                h = h ^ (h >> np.uint32(15))
-                h = h * np.uint32(0x2C1B3C6D)
-                counts += np.bincount((h >> np.uint32(20)).astype(np.int64), minlength=PLACES)
+            _add(counts, two[:-1])
+            _add(counts, (two[:-1] + cp[2:] * np.uint32(0xC2B2AE3D)) ^ np.uint32(0x27D4EB2F))
         tail = cp[-2:]
-    return counts if seen else None
+    if not seen:
+        return None
+    _add(counts, two[-1:])  # the pairs before it were counted with the triple that they begin
+    return counts
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
