@@ -41,41 +41,32 @@ def _draw(seed: int, *of: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join([str(seed), *of]).encode(), digest_size=8).digest(), "big")
 
 
-def _plain(value: Any, key: str) -> Any:
-    if isinstance(value, list):
-        value = value[0] if value else None
-    return value.get(key) if isinstance(value, dict) else value
-
-
 def _kind(c: dict) -> str | None:
-    if not (kind := _plain(c.get("type"), "type")):
-        return None
-    size = SIZES.get(str(_plain(c.get("size"), "size")), "")
-    ways = c.get("alignment")
-    ways = " ".join(w for w in ways if isinstance(w, str)) if isinstance(ways, list) else ways
-    return f"{size} {kind}".strip() + (f", {ways}" if ways else "")
+    """Size, type and alignment in words; nothing for a creature without a type."""
+    kind, ways = content.leaf(c.get("type"), "type"), c.get("alignment")
+    if isinstance(ways, list):
+        ways = " ".join(filter(lambda w: isinstance(w, str), ways))
+    sized = [SIZES.get(str(content.leaf(c.get("size"), "size"))), kind]
+    return ", ".join(map(str, filter(None, (" ".join(map(str, filter(None, sized))), ways)))) if kind else None
 
 
 def _health(c: dict) -> str | None:
-    hp = c.get("hp")
-    if not isinstance(hp, dict) or hp.get("average") is None:
-        return None
-    return f"{hp['average']} ({hp['formula']})" if hp.get("formula") else str(hp["average"])
+    points, dice = (c["hp"].get(k) for k in ("average", "formula")) if isinstance(c.get("hp"), dict) else (None, None)
+    return None if points is None else f"{points} ({dice})" if dice else f"{points}"
 
 
 def _speed(c: dict) -> str | None:
-    speed = c.get("speed")
-    if speed is None:
-        return None
-    return content.speed(speed) or None if isinstance(speed, dict) else f"{speed} ft."
+    shown = None if c.get("speed") is None else content.speed(c["speed"])
+    return shown and (shown if isinstance(c["speed"], dict) else f"{shown} ft.") or None
 
 
+#: How each topic's value is read from a creature.
 FACTS: dict[str, Callable[[dict], Any]] = {
     "kind": _kind,
-    "armor": lambda c: _plain(c.get("ac"), "ac"),
+    "armor": lambda c: content.leaf(c.get("ac"), "ac"),
     "health": _health,
     "speed": _speed,
-    "challenge": lambda c: _plain(c.get("cr"), "cr"),
+    "challenge": lambda c: content.leaf(c.get("cr"), "cr"),
     "block": lambda c: content.stat_block(c) or None,
 }
 
