@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.functions import counting
 from quern.functions import text as T
-from quern.session import through_table
+from quern.session import ship, through_table
 
 
 def is_quality(col: Column, min_chars: int = 200, min_alpha: float = 0.5) -> Column:
@@ -19,11 +23,20 @@ def publishable(records: DataFrame) -> DataFrame:
     return records.where(F.col("publishable"))
 
 
+def first_copies(rows: DataFrame, key: str) -> DataFrame:
+    """Of the rows of each ``key`` the one that comes first, by one aggregation over the rows as
+    they are: for narrow rows, such as a digest with counters."""
+    columns = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*columns), "ord").alias("_first")).select("_first.*", key)
+
+
 def exact_dedup(records: DataFrame) -> DataFrame:
-    """The first record (by ``ord``) of each normal form.  Keys alone are shuffled and joined."""
-    keyed = records.withColumn("_h", F.sha1(T.norm(T.filled("text"))))
-    first = keyed.groupBy("_h").agg(F.min("ord").alias("ord"))
-    return keyed.join(first, ["_h", "ord"], "left_semi").drop("_h")
+    """The first record (by ``ord``, which is unique) of each normal form.
+
+    Digests find the first records; texts are moved once, to meet their ids.
+    """
+    first = first_copies(records.select("ord", F.sha1(T.norm(T.filled("text"))).alias("_h")), "_h").select("ord")
+    return records.join(first, "ord", "left_semi")
 
 
 def paragraph_frequency(records: DataFrame, sep: str = "\n\n", min_chars: int = 80) -> DataFrame:
@@ -34,14 +47,19 @@ def paragraph_frequency(records: DataFrame, sep: str = "\n\n", min_chars: int =
 
 def paragraph_dedup(records: DataFrame, max_docs: int = 3, min_chars: int = 80, sep: str = "\n\n") -> DataFrame:
     """Remove long paragraphs that occur in more than ``max_docs`` records, everywhere; drop
-    records that this leaves empty.  Only (ord, text) of touched records is rebuilt."""
-    often = paragraph_frequency(records, sep, min_chars).where(F.col("docs") > max_docs).select("key")
-    para = records.select("ord", F.posexplode(F.split(T.filled("text"), sep)).alias("pos", "p"))
-    para = para.withColumn("key", F.when(F.length(T.strip(F.col("p"))) >= min_chars, T.norm(F.col("p"))))
-    kept = para.join(often, "key", "left_anti")
-    parts = F.array_sort(F.collect_list(F.struct("pos", "p")))
-    text = kept.groupBy("ord").agg(T.strip(F.array_join(F.transform(parts, lambda x: x["p"]), sep)).alias("text")).where("text <> ''")
-    return records.drop("text").join(text, "ord")
+    records that this leaves empty.
+
+    Paragraphs are told by digests, so the counting moves no text; a record learns the places of
+    its own common paragraphs, and only records that have some are put together anew.
+    """
+    para = records.select("ord", F.posexplode(F.split(T.filled("text"), sep)).alias("pos", "p")).where(F.length(T.strip(F.col("p"))) >= min_chars)
+    keyed = para.select("ord", "pos", F.unhex(F.md5(T.norm(F.col("p")))).alias("key"))
+    often = keyed.select("ord", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs).select("key")
+    places = keyed.join(often, "key", "left_semi").groupBy("ord").agg(F.collect_set("pos").alias("_gone"))
+    text, gone = T.filled("text"), F.col("_gone")
+    rest = F.array_join(F.filter(F.split(text, sep), lambda _, i: ~F.array_contains(gone, i)), sep)
+    out = records.join(places, "ord", "left").withColumn("text", T.strip(F.when(gone.isNull(), text).otherwise(rest)))
+    return out.drop("_gone").where("text <> ''")
 
 
 def strip_running_lines(pages: DataFrame, min_pages: int = 4, share: float = 0.5) -> DataFrame:
@@ -54,28 +72,25 @@ def strip_running_lines(pages: DataFrame, min_pages: int = 4, share: float = 0.5
     return kept.groupBy("ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "pos", "line"))), lambda x: x["line"]), "\n").alias("text"))
 
 
+def _by_row(rows: DataFrame, texts: list[str], count: Callable[..., tuple], names: tuple[str, ...], ddl: str) -> DataFrame:
+    """ord and what ``count`` gives for each row's texts, by Arrow batches."""
+    ship(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [batch.column(i + 1).to_pylist() for i in range(len(texts))]
+            got = [count(*row) for row in zip(*values, strict=True)]
+            if got:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(column) for column in zip(*got, strict=True))], names=["ord", *names])
+
+    out = rows.select("ord", *(T.filled(t).alias(t) for t in texts))
+    kind = out.schema["ord"].dataType.simpleString()
+    return out.mapInArrow(run, f"ord {kind}, {ddl}")
+
+
 def audit_counters(records: DataFrame) -> DataFrame:
     """Whole-number counters from which the audit's rates and verdict follow."""
-    text = T.filled("text")
-    tokens = T.words(text)
-    core = F.transform(tokens, lambda w: F.regexp_replace(F.regexp_replace(w, f"^[{T.EDGE_CHARS}]+", ""), f"[{T.EDGE_CHARS}]+$", ""))
-    cores = F.filter(core, lambda w: w.rlike(r"^\p{L}{2,}$"))
-    lines = F.filter(F.split(text, "\n"), lambda x: T.solid(x) > 0)
-    one = records.withColumns({"_tokens": tokens, "_cores": cores, "_lines": lines})
-    count = lambda c, f: F.size(F.filter(c, f)).cast("long")
-    return one.select(
-        "ord",
-        F.length(text).cast("long").alias("n_chars"),
-        F.size("_tokens").cast("long").alias("n_tokens"),
-        count("_tokens", lambda w: F.length(w) > 30).alias("n_long"),
-        T.letters(text).cast("long").alias("n_letters"),
-        T.solid(text).cast("long").alias("n_solid"),
-        F.size("_cores").cast("long").alias("n_cores"),
-        count("_cores", lambda w: (F.length(w) <= 20) & w.rlike("[aeiouyAEIOUY]")).alias("n_wordlike"),
-        count("_cores", lambda w: w.rlike("[a-z][A-Z]")).alias("n_caps"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        count("_lines", lambda x: T.letters(x) < T.solid(x) * 0.35).alias("n_garbage"),
-    )
+    return _by_row(records, ["text"], counting.audit_counts, counting.AUDIT, ", ".join(f"{n} long" for n in counting.AUDIT))
 
 
 def audit(records: DataFrame) -> DataFrame:
@@ -121,15 +136,15 @@ def overlap_pairs(records: DataFrame, threshold: float = 0.75, k: int = 5, max_d
     return out.select("a", "b", "shared", (F.col("shared") / small).alias("overlap"), (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("jaccard"))
 
 
+def _compared(old: str, new: str) -> tuple:
+    return (*counting.shared_grams(old, new), counting.numbers_kept(old, new), len(old), len(new))
+
+
 def faithfulness(pairs: DataFrame) -> DataFrame:
     """ord, inter, n_old, n_new, numbers_kept, faithful from (ord, old, new)."""
-    number = F.lit(r"[0-9]+(?:[.,/][0-9]+)?")
-    p = pairs.select("ord", T.filled("old").alias("old"), T.filled("new").alias("new"))
-    p = p.withColumns({"a": T.char_ngrams(F.col("old")), "b": T.char_ngrams(F.col("new")), "x": F.regexp_extract_all("old", number, F.lit(0)), "y": F.regexp_extract_all("new", number, F.lit(0))})
-    times = lambda c, v: F.size(F.filter(c, lambda x: x == v))
-    kept = F.forall(F.array_distinct("y"), lambda v: times(F.col("y"), v) <= times(F.col("x"), v))
-    p = p.select("ord", "old", "new", F.size("a").cast("long").alias("n_old"), F.size("b").cast("long").alias("n_new"), F.size(F.array_intersect("a", "b")).cast("long").alias("inter"), kept.alias("numbers_kept"))
-    ok = (F.col("n_new") > 0) & (F.col("n_old") > 0) & (F.col("inter") >= F.col("n_new") * 0.80) & (F.col("inter") >= F.col("n_old") * 0.60) & F.col("numbers_kept") & (F.length("new") >= F.length("old") * 0.5)
+    names = ("inter", "n_old", "n_new", "numbers_kept", "old_chars", "new_chars")
+    p = _by_row(pairs, ["old", "new"], _compared, names, "inter long, n_old long, n_new long, numbers_kept boolean, old_chars long, new_chars long")
+    ok = (F.col("n_new") > 0) & (F.col("n_old") > 0) & (F.col("inter") >= F.col("n_new") * 0.80) & (F.col("inter") >= F.col("n_old") * 0.60) & F.col("numbers_kept") & (F.col("new_chars") >= F.col("old_chars") * 0.5)
     return p.select("ord", "inter", "n_old", "n_new", "numbers_kept", ok.alias("faithful"))
 
 

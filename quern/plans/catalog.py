@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import doctype, neardup, passes, repair, sft, tokens
+from quern.session import spread
 from quern.sources import documents
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +45,11 @@ def exact_dedup(spark, sf):
 
 
 def ingest_stats(spark, sf):
-    """Gate, then exact deduplication, counted by system: the flagship plan's first half."""
+    """Gate, then exact deduplication, counted by system: the flagship plan's first half.
+    Digests and lengths are all that is moved."""
     gated = records(spark, sf).where(passes.is_quality(T.filled("text")))
-    return passes.exact_dedup(gated).groupBy("system").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length("text")).alias("characters"))
+    rows = gated.select("ord", "system", F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha1(T.norm(F.col("text")))).alias("h"))
+    return passes.first_copies(rows, "h").groupBy("system").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("characters"))
 
 
 def paragraph_doc_freq(spark, sf):
@@ -333,9 +336,9 @@ SELECT ord, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM k WHERE NOT
         "chat_context": "SELECT * FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC)::INTEGER AS back FROM conversations) WHERE back <= 6",
         "per_lang_sample": f"{_REC}, k AS (SELECT ord, system, row_number() OVER (PARTITION BY system ORDER BY md5('7:' || ord), ord) AS rank FROM rec) SELECT * FROM k WHERE rank <= 40",
         "per_source_cap": f"{_REC}, k AS (SELECT ord, split_part(source, '/', 1) AS source, row_number() OVER (PARTITION BY split_part(source, '/', 1) ORDER BY md5('11:' || ord), ord) AS rank FROM rec) SELECT * FROM k WHERE rank <= 10",
-        "padded_batches": f"""{_REC}, e AS (SELECT ord, ord // 8 AS batch, list_transform(({_WORDS('text')})[1:64], lambda w: length(w)) AS ids FROM rec), w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS n FROM e)
+        "padded_batches": f"""{_REC}, e AS (SELECT ord, ord // 8 AS batch, list_transform({_WORDS('text')}, lambda w: length(w)) AS ids FROM rec), w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS n FROM e)
 SELECT batch, ord, array_to_string(ids || list_transform(range(n - len(ids)), lambda i: 0), ' ') AS ids, array_to_string(ids[2:] || list_transform(range(n - len(ids[2:])), lambda i: -1), ' ') AS targets FROM w""",
         "shard_plan": f"{_REC}, t AS (SELECT ord, strlen({_STRIP('text')}) AS n_bytes FROM rec WHERE length({_STRIP('text')}) >= 50), b AS (SELECT ord, n_bytes, coalesce(sum(n_bytes) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM t) SELECT *, before // 100000 AS shard FROM b",
-        "cache_lookup": f"{_REC}, c AS (SELECT DISTINCT text FROM rec WHERE ord % 2 = 0) SELECT ord, length(c.text) AS cached_chars FROM rec LEFT JOIN c ON sha256(rec.text) = sha256(c.text)",
+        "cache_lookup": f"{_REC}, c AS (SELECT DISTINCT text FROM rec) SELECT ord, length(c.text) AS cached_chars FROM rec LEFT JOIN c ON sha256(rec.text) = sha256(c.text)",
         "stem_diversity": f"SELECT count(*) AS n, count(DISTINCT array_to_string(({_WORDS("lower(coalesce(text, ''))")})[1:4], ' ')) AS stems FROM conversations WHERE role = 'user'",
     }

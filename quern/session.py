@@ -24,6 +24,21 @@ def local_session(app: str = "quern", cores: str = "*", partitions: int = 8, mem
     )
 
 
+#: A table of fewer files than there are cores is dealt out anew up to this many bytes a core.
+SPREAD_BYTES = 128 << 20
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """``table`` over all cores, where its files cannot be: a small file is one row group, and so
+    one task, whatever the machine has.  Larger tables are left as they are, so nothing is
+    shuffled that fills the cores by itself."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > cores * SPREAD_BYTES or len(table.inputFiles()) >= cores:
+        return table
+    return table.repartition(cores, table.columns[0])
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once for each context: Spark serves the archive to them."""
     context = spark.sparkContext
@@ -39,9 +54,34 @@ def ship(spark: SparkSession) -> None:
     context._quern_shipped = True
 
 
-def through_table(df: DataFrame) -> DataFrame:
-    """``df`` through a table in the shared folder, which cuts its lineage."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{root.rstrip('/')}/pass-{uuid.uuid4().hex}"
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the context's
+    checkpoint folder, else (one machine, tests) one of its own.  A cluster must name it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        named = current.get() if current.isDefined() else None
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = "/tmp/checkpoints"
+    return named.rstrip("/")
+
+
+def through_table(df: DataFrame, label: str = "pass") -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    The written table cuts the lineage: a lost executor costs no recomputation of what lies
+    before it, and the plan behind is not run twice by two consumers.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``through_table`` wrote, once nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
