@@ -53,7 +53,7 @@ def paragraph_dedup(records: DataFrame, max_docs: int = 3, min_chars: int = 80,
     its own common paragraphs, and only records that have some are put together anew.
     """
     para = records.select("ord", F.posexplode(F.split(T.filled("text"), sep)).alias("pos", "p")).where(F.length(T.strip(F.col("p"))) >= min_chars)
-    keyed = para.select("ord", "pos", F.unhex(F.md5(T.norm(F.col("p")))).alias("key"))
+    keyed = through_table(para.select("ord", "pos", F.unhex(F.md5(T.norm(F.col("p")))).alias("key")))
     often = keyed.select("ord", "key").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs).select("key")
     places = keyed.join(often, "key", "left_semi").groupBy("ord").agg(F.collect_set("pos").alias("_gone"))
     text, gone = T.filled("text"), F.col("_gone")
