@@ -8,18 +8,22 @@ bands of diagonals, and bands that reach the item's bound are verified by an ali
 to the band.  The lemma loses no occurrence within the budget; the alignment admits no other.
 
 The item index is what tasks carry.  Its size is checked: beyond ``SLICE_CHARS`` the benchmark
-is dealt into slices and the documents are read once for each.
+is dealt into slices, held one at a time, and the documents are read once for each.
 
 Defined results
     null and empty texts contain nothing; items without any letter or digit match nothing;
     items with fewer than ``Q`` of them have no q-gram and match as whole words, without edits,
-    whatever stands between the words; items with equal text all match; an empty benchmark leaves every document clean; an empty table gives an empty
-    result; repeated rows get equal results; very long texts are read whole.
+    whatever stands between the words; items with equal text all match; of several places of an
+    item the one with the fewest edits is given, of equal ones the first; an empty benchmark leaves
+    every document clean; an empty table gives an empty result; repeated rows get equal results;
+    very long texts are read whole, also where one q-gram fills them; further columns, whatever
+    their names, are not read by ``find_leaks`` and passed on by ``drop_leaks``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, codepoints
+from quern.llm.common import bounded_batches, codepoints, through_table
 
 Q = 10
 #: Edits allowed, as a share of an item's length.
@@ -35,6 +39,8 @@ EDIT_SHARE = 0.08
 #: Characters of benchmark text that one index holds.
 SLICE_CHARS = 2_000_000
 TABLE_BITS = 20
+#: Hits, places and cells of alignments that one text has open at once.
+OPEN_HITS, OPEN_PLACES, OPEN_CELLS = 1 << 20, 1 << 14, 1 << 17
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 _ALNUM: list[np.ndarray] = []
@@ -98,7 +104,7 @@ class Item:
 
 
 class Index:
-    """The q-grams of some items: a table of bits before a sorted list of (hash, item, place)."""
+    """The q-grams of some items: a table of bits before a sorted list of (hash, item, run of places)."""
 
     def __init__(self, rows: list[tuple[int, str]], edit_share: float = EDIT_SHARE, q: int = Q):
         self.q = q
@@ -122,15 +128,19 @@ class Index:
         self.bits = np.zeros(1 << TABLE_BITS, bool)
         if not self.items:
             return
-        h = np.concatenate(hashes)
-        order = np.argsort(h, kind="stable")
-        self.owner, self.place = np.concatenate(owners)[order], np.concatenate(places)[order]
-        self.hash, self.start = np.unique(h[order], return_index=True)
-        self.start = np.append(self.start, len(h))
-        self.bits[_slot(self.hash)] = True
         self.width = np.array([i.edits + 1 for i in self.items])
         self.least = np.array([i.least for i in self.items])
         self.longest = max(len(i.cp) for i in self.items)
+        h, owner, place = np.concatenate(hashes), np.concatenate(owners), np.concatenate(places)
+        order = np.lexsort((place, owner, h))
+        h, owner, place = h[order], owner[order], place[order]
+        # A run: neighbouring places of an item with one q-gram.
+        begin = np.concatenate([[True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)])
+        at = np.flatnonzero(begin)
+        self.owner, self.first, self.last = owner[at], place[at], place[np.append(at[1:], len(h)) - 1]
+        self.hash, self.start = np.unique(h[at], return_index=True)
+        self.start = np.append(self.start, len(at))
+        self.bits[_slot(self.hash)] = True
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, start, end, edits) of each item found, at its best place."""
@@ -151,10 +161,13 @@ class Index:
                     first.setdefault(key, i)
         return [(item_id, int(at[start[i]]), int(at[start[i + len(key)] - 1]) + 1, 0) for key, i in first.items() for item_id in self.short[key]]
 
-    def _find_long(self, text: str, cp: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-        if not self.items or len(text) < self.q:
-            return []
-        h = qgram_hashes(cp, self.q)
+    def _candidates(self, h: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(item, bands): the bands of diagonals of each item that hold its least number of hits.
+
+        A text's q-grams are looked up block by block, so that few hits are open at once however
+        often a q-gram repeats in the text and in the items.  A place of the text counts once in
+        a band: an occurrence keeps its q-grams at different places of the text.
+        """
         where = np.flatnonzero(self.bits[_slot(h)])
         if len(where) < self.least.min():
             return []
@@ -162,91 +175,110 @@ class Index:
         near[near == len(self.hash)] = 0
         true = self.hash[near] == h[where]
         where, near = where[true], near[true]
+        if len(where) < self.least.min():
+            return []
         n = self.start[near + 1] - self.start[near]
-        if n.sum() < self.least.min():
+        span = (len(h) + self.longest) // int(self.width.min()) + 2
+        # Runs are dealt out so that few bands are open at once.
+        upto = np.cumsum(np.add.reduceat((self.last - self.first) // self.width[self.owner] + 3, self.start[:-1])[near])
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = 0
+        while at < len(where):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + OPEN_HITS, "right")))
+            end = min(end, at + OPEN_PLACES)
+            m = n[at:end]
+            run = np.repeat(self.start[near[at:end]] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+            place, nth = np.repeat(where[at:end], m), np.repeat(np.arange(end - at), m)
+            owner = self.owner[run]
+            # A band overlaps the next, so the one before the first gets the hit too.
+            low = np.maximum((place - self.last[run] + self.longest) // self.width[owner] - 1, 0)
+            many = (place - self.first[run] + self.longest) // self.width[owner] - low + 1
+            band = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            hits = (np.repeat(owner, many) * span + band) * np.int64(end - at) + np.repeat(nth, many)
+            found, times = np.unique((np.unique(hits) if len(hits) > end - at else hits) // np.int64(end - at), return_counts=True)
+            keys, slot = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            counts = np.bincount(slot, np.concatenate([counts, times]), len(keys)).astype(np.int64)
+            at = end
+        keys = keys[counts >= self.least[keys // span]]
+        items = keys // span
+        return [(int(k), keys[items == k] - k * span) for k in np.unique(items)]
+
+    def _find_long(self, text: str, cp: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        if not self.items or len(text) < self.q:
             return []
-        first = np.repeat(self.start[near] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-        post = first + np.arange(n.sum())
-        owner = self.owner[post]
-        diagonal = np.repeat(where, n) - self.place[post] + self.longest
-        band = diagonal // self.width[owner]
-        span = int(band.max()) + 2
-        keys = np.concatenate([owner * span + band, owner * span + np.maximum(band - 1, 0)])
-        keys, counts = np.unique(keys, return_counts=True)
-        enough = counts >= self.least[keys // span]
-        best: dict[int, tuple[int, int, int]] = {}
-        whole = None
-        for key in keys[enough].tolist():
-            k, b = divmod(key, span)
-            item = self.items[k]
-            if k in best and best[k][2] == 0:
-                continue
+        out, whole = [], None
+        for k, bands in self._candidates(qgram_hashes(cp, self.q)):
+            item, width = self.items[k], int(self.width[k])
             if whole is None:
                 whole = cp.tobytes().decode("utf-32-le")
-            low = b * int(self.width[k]) - self.longest
-            high = low + 2 * int(self.width[k])
-            hit = whole.find(item.text, max(0, low), max(0, high) + len(item.cp))
-            got = (hit, hit + len(item.cp), 0) if hit >= 0 else align(item.cp, cp, low, high, item.edits)
-            if got and (k not in best or got[2] < best[k][2]):
-                best[k] = got
-        return [(self.items[k].item_id, int(at[s]), int(at[e - 1]) + 1, d) for k, (s, e, d) in sorted(best.items())]
+            hit = whole.find(item.text)
+            got = (hit, hit + len(item.cp), 0) if hit >= 0 else align(item.cp, cp, bands * width - self.longest, 2 * width, item.edits)
+            if got:
+                out.append((item.item_id, int(at[got[0]]), int(at[got[1] - 1]) + 1, got[2]))
+        return out
 
 
-def align(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """Best alignment of the whole item inside diagonals [low, high); None if over budget.
+def align(item: np.ndarray, text: np.ndarray, lows: np.ndarray, size: int, budget: int) -> tuple[int, int, int] | None:
+    """(start, end, edits) of the best alignment of the whole item inside one of the bands of
+    diagonals [low, low + size); of equal ones that of the first band; None if over budget.
 
-    Row by row over the item; column k stands for text place row + low + k.  Each cell also
-    carries the diagonal on which its path began.
+    Row by row over the item, many bands at once; column k stands for text place row + low + k.
+    Each cell also carries the diagonal on which its path began.
     """
-    size = high - low
-    if size <= 0:
-        return None
+    best, step = None, max(1, OPEN_CELLS // size)
+    for at in range(0, len(lows), step):
+        got = _align_bands(item, text, lows[at : at + step, None], size, budget)
+        if got and (best is None or got[2] < best[2]):
+            best = got
+    return best
+
+
+def _align_bands(item: np.ndarray, text: np.ndarray, low: np.ndarray, size: int, budget: int) -> tuple[int, int, int] | None:
     far = len(item) + budget + 1
     columns = np.arange(size)
     cost = np.where((columns + low >= 0) & (columns + low <= len(text)), 0, far)
-    origin = columns.copy()
+    origin = np.broadcast_to(columns, cost.shape)
+    outside = np.full((len(low), 1), far)
     for i, c in enumerate(item.tolist()):
         j = i + low + columns
         inside = (j >= 0) & (j < len(text))
-        same = np.zeros(size, bool)
-        same[inside] = text[j[inside]] == c
+        same = inside & (text[np.clip(j, 0, len(text) - 1)] == c)
         step = np.where(inside, cost + ~same, far)
-        up = np.append(cost[1:] + 1, far)
+        up = np.concatenate([cost[:, 1:] + 1, outside], 1)
         use_up = up < step
         step = np.where(use_up, up, step)
-        start = np.where(use_up, np.append(origin[1:], 0), origin)
+        start = np.where(use_up, np.concatenate([origin[:, 1:], np.zeros_like(outside)], 1), origin)
         # From the left: one edit a column, so the best is a running minimum of cost - column.
-        packed = (step - columns) * (4 * size) + columns
-        run = np.minimum.accumulate(packed)
-        source = run % (4 * size)
+        run = np.minimum.accumulate((step - columns) * (4 * size) + columns, 1)
         cost = run // (4 * size) + columns
-        origin = start[source]
-        if cost.min() > budget:
-            return None
-    k = int(np.argmin(cost))
-    if cost[k] > budget:
-        return None
-    begin = max(0, int(origin[k]) + low)
-    end = min(len(text), len(item) + low + k)
-    return (begin, end, int(cost[k])) if end > begin else None
+        origin = np.take_along_axis(start, run % (4 * size), 1)
+        alive = cost.min(1) <= budget
+        if not alive.all():
+            if not alive.any():
+                return None
+            cost, origin, low, outside = cost[alive], origin[alive], low[alive], outside[alive]
+    band, k = np.unravel_index(int(np.argmin(cost)), cost.shape)
+    begin = max(0, int(origin[band, k]) + int(low[band, 0]))
+    end = min(len(text), len(item) + int(low[band, 0]) + int(k))
+    return (begin, end, int(cost[band, k])) if cost[band, k] <= budget and end > begin else None
 
 
 SPAN = pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
 _DDL = "spans array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
 
 
-def slices(benchmark: DataFrame, limit: int = SLICE_CHARS) -> list[Index]:
-    """Indexes over the benchmark, each within ``limit`` characters (one item may exceed it alone)."""
-    out, rows, size = [], [], 0
+def slices(benchmark: DataFrame, limit: int = SLICE_CHARS) -> Iterator[Index]:
+    """Indexes over the benchmark, one after the other, each within ``limit`` characters (one item
+    may exceed it alone); the items are streamed, so one slice is held at a time."""
+    rows, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).orderBy("item_id", "text").toLocalIterator():
         if rows and size + len(r.text) > limit:
-            out.append(Index(rows))
+            yield Index(rows)
             rows, size = [], 0
         rows.append((r.item_id if r.item_id is not None else -1, r.text))
         size += len(r.text)
     if rows:
-        out.append(Index(rows))
-    return out
+        yield Index(rows)
 
 
 def _scan(frame: DataFrame, index: Index, with_text: bool) -> DataFrame:
@@ -264,27 +296,34 @@ def _scan(frame: DataFrame, index: Index, with_text: bool) -> DataFrame:
     return frame.mapInArrow(run, f"doc_id {kind}, {'text string, ' * with_text}{_DDL}")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, contaminated, n_items, item_ids, spans: one row per row of ``docs``."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, limit: int = SLICE_CHARS) -> DataFrame:
+    """doc_id, contaminated, n_items, item_ids, spans: one row per row of ``docs``.
+
+    A benchmark of several slices costs a reading for each; between two the documents go through
+    a table, so that plan and driver hold one index only.
+    """
     bounded_batches(docs.sparkSession)
     out = docs.select("doc_id", "text", F.array().cast(_DDL.split(" ", 1)[1]).alias("spans"))
-    indexes = slices(benchmark) or [Index([])]
-    for k, index in enumerate(indexes):
-        out = _scan(out, index, k + 1 < len(indexes))
+    held = None
+    for index in slices(benchmark, limit):
+        if held is not None:
+            out = through_table(_scan(out, held, True), "leaks")
+        held = index
+    out = _scan(out, held or Index([]), False)
     ids = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item_id"])))
     return out.select("doc_id", (F.size("spans") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), "spans")
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, limit: int = SLICE_CHARS) -> DataFrame:
     """The rows of ``docs`` with their columns, without those that contain a benchmark item."""
     bounded_batches(docs.sparkSession)
     schema = docs.schema
-    for index in slices(benchmark):
+    for at, index in enumerate(slices(benchmark, limit)):
 
         def run(batches, index=index):
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
                 yield batch.filter(pa.array([not index.find(t or "") for t in texts], pa.bool_()))
 
-        docs = docs.mapInArrow(run, schema)
+        docs = (through_table(docs, "leaks") if at else docs).mapInArrow(run, schema)
     return docs
