@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.session import ship
+from quern.session import drop_table, ship, spread, through_table  # noqa: F401 - shared with the operators
 
 #: Largest Arrow batch handed to Python, in bytes; keeps a worker's memory flat on long texts.
 ARROW_BYTES = 8 << 20
@@ -21,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Make a session ready for Python over texts: bound its Arrow batches by bytes, so that long
-    texts cannot pile up, and give the executors this package."""
+    """Make a session ready for Python over texts: give the executors this package, and bound its
+    Arrow batches by bytes, so that long texts cannot pile up.  A lower bound of the session stays."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name, None)
+    if not (held and held.isdigit() and 0 < int(held) <= ARROW_BYTES):
+        spark.conf.set(name, str(ARROW_BYTES))
 
 
 def spare(docs: DataFrame, name: str) -> str:
@@ -35,64 +37,42 @@ def spare(docs: DataFrame, name: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.  Set here only where the cluster names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = current.get() if current.isDefined() else "/tmp/checkpoints"
-    return named.rstrip("/")
-
-
-def through_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
-
-    The written table cuts the lineage: a lost executor costs no recomputation of what lies
-    before it, and the plan behind is not run twice by two consumers.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_table(df: DataFrame) -> None:
-    """Delete a table that ``through_table`` wrote, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fold(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus`` (null id: null)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(col.cast("string").cast("binary")) % modulus
 
 
-def stratified_sample(rows: DataFrame, label: str, per_class: int, seed: int = 7) -> DataFrame:
-    """Keep about ``per_class`` rows of each label by a hash of doc_id.
+def stratified_sample(rows: DataFrame, label: str, per_class: int, most_labels: int, seed: int = 7) -> DataFrame:
+    """At most ``per_class`` rows of each of the ``most_labels`` most frequent labels: those whose
+    ids have the least hashes.
 
-    ``rows`` has doc_id and ``label``.  The kept set depends on ids and counts alone, not on
-    partitioning or on retried tasks.  Its expected size is at most per_class x labels.
+    The bound holds whatever the table holds (repeated ids, labels without end): a share of the
+    hashes that about twice the rows fall into goes on, tasks keep the first of them, and the
+    window keeps ``per_class``.  What is kept depends on the rows alone, not on their partitions
+    or on retried tasks.  The counts joined are ``most_labels`` rows.
     """
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
-    million = 1_000_000
-    keep = F.lit(False)
-    for value, n in counts.items():
-        share = million if n <= per_class else max(1, int(million * per_class / n))
-        keep = F.when(F.col(label).eqNullSafe(F.lit(value)), F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(million)) < share).otherwise(keep)
-    return rows.where(keep)
+    draw, many = spare(rows, "_draw"), spare(rows, "_many")
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias(many)).orderBy(F.desc(many), label).limit(most_labels)
+    drawn = rows.withColumn(draw, F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(1 << 53)).join(F.broadcast(counts), label)
+    near = drawn.where(F.col(draw) * F.col(many) < 2 * per_class + 64)
+    first = Window.partitionBy(label).orderBy(draw, *[c for c in rows.columns if c != label])
+    rank = spare(rows, "_rank")
+    return near.withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= per_class).select(*rows.columns)
 
 
 def labelled_docs(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int, seed: int = 7) -> DataFrame:
-    """doc_id, text and label of a bounded sample of the labelled documents that ``train`` admits.
+    """doc_id, text and label (0 or 1) of a bounded sample of the labelled documents that ``train``
+    admits: at most ``per_class`` of each label.
 
-    Several labels of one id count as their largest.  The sample is joined by broadcast: its
-    size is bounded by ``per_class`` and the number of labels (two), whatever the corpus holds.
+    Several labels of one id count as their largest; of several texts of one id the first in
+    order speaks for it.  The sample is joined by broadcast: it has 2 x ``per_class`` rows at
+    most, whatever the corpus holds.
     """
-    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
-    sample = stratified_sample(rows, label, per_class, seed)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
+    sample = stratified_sample(rows, label, per_class, 2, seed)
+    joined = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    return joined.groupBy("doc_id", label).agg(F.min("text").alias("text"))
 
 
 def map_texts(df: DataFrame, row: Callable[[str], tuple], fields: list[tuple[str, pa.DataType]], ddl: str, keep: list[str], text: str = "text") -> DataFrame:

@@ -7,13 +7,15 @@ cosine k-means: one for its plain prose, others for its odd registers.  A text t
 language of the centroid with the greatest cosine; it is marked rejected where that cosine lies
 below what the centroid's own members reach.
 
-The centroids are fitted on a bounded sample (``sample_rows`` over all languages, chosen by a
-hash of the id); every text is read whole.
+The centroids are fitted on a bounded sample: ``sample_rows`` rows over all languages, shared
+out evenly and chosen by a hash of the id, whatever the table holds (repeated ids, a language
+column of any number of values).  Every text is read whole.
 
 Defined results
     a null text and a text without letters are ``und`` with score 0 and rejected; with nothing
     to learn from, every text is ``und``; an empty table gives an empty result; repeated rows
-    give equal results; equal cosines go to the language first in alphabetical order.
+    give equal results; equal cosines go to the language first in alphabetical order; very long
+    texts are counted as any other; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ SAMPLE_ROWS = 2400
 CENTROIDS = 4
 PLACES = 1 << 12
 PIECE = 1 << 21
+#: Rows of a language that its centroids need; so SAMPLE_ROWS // LEAST_ROWS languages (the most
+#: frequent ones) can be learned, and no more are.
+LEAST_ROWS = 8
 #: A text is rejected below this share of a centroid members' tenth-percentile cosine.
 REJECT = 0.6
 
@@ -124,18 +129,34 @@ class Centroids:
         return self.langs[best], score, score < self.floor[best]
 
 
-def fit_languages(docs: DataFrame, train: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> Centroids | None:
-    rows = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.lit(True) if train is None else train))
-    n_langs = max(1, rows.select("lang").distinct().count())
-    picked = stratified_sample(rows, "lang", max(8, sample_rows // n_langs)).select("doc_id", F.col("lang").alias("_lang")).distinct()
-    sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+def pack_counts(counts: np.ndarray) -> bytes:
+    """The places that are not zero, then their counts."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes() + np.minimum(counts[at], 2**32 - 1).astype("<u4").tobytes()
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    n = len(blob) // 6
+    out = np.zeros(PLACES, np.int64)
+    out[np.frombuffer(blob, "<u2", n)] = np.frombuffer(blob, "<u4", n, 2 * n)
+    return out
+
 
+def language_sample(docs: DataFrame, train: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, text, lang: the bounded sample that the centroids are fitted on."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if train is None else train)).select("doc_id", "lang", "text")
+    most = max(1, sample_rows // LEAST_ROWS)
+    n_langs = min(most, max(1, rows.select("lang").distinct().limit(most).count()))
+    return stratified_sample(rows, "lang", max(1, sample_rows // n_langs), most).withColumnRenamed("lang", "_lang")
+
+
+def fit_languages(docs: DataFrame, train: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> Centroids | None:
     def row(text: str) -> tuple:
         counts = ngram_counts(text)
-        return (None if counts is None else np.minimum(counts, 65535).astype("<u2").tobytes(),)
+        return (None if counts is None else pack_counts(counts),)
 
-    got = map_texts(sample, row, [("v", pa.binary())], "v binary", ["doc_id", "_lang"]).where("v is not null").orderBy("doc_id", "_lang").collect()
-    counts = np.stack([np.frombuffer(r.v, "<u2") for r in got]) if got else np.zeros((0, PLACES))
+    got = map_texts(language_sample(docs, train, sample_rows), row, [("v", pa.binary())], "v binary", ["doc_id", "_lang"]).where("v is not null").orderBy("doc_id", "_lang", "v").collect()
+    counts = np.stack([unpack_counts(r.v) for r in got]) if got else np.zeros((0, PLACES))
     return Centroids.fit(counts, [r._lang for r in got])
 
 

@@ -12,8 +12,11 @@ chosen by a hash of the id); statistics are taken over whole texts.
 Defined results
     null and empty texts have the statistics of an empty text and are scored like any other;
     without labels of both classes every score is the share of label 1 among those seen (0.5
-    if none); an empty table gives an empty result; repeated rows get equal scores; several
-    labels of one id count as their largest.
+    if none); labels other than 0 and 1 are not read; a class of one row, or of repeated rows, leans on the pooled covariance and on a least
+    spread; an empty table gives an empty result; repeated rows get equal scores; several
+    labels of one id count as their largest, of several texts of one id the first speaks; very
+    long texts are read whole; a score of exactly one half counts as good; other columns,
+    whatever their names, are not read, and ``keep_good`` passes them on as they are.
 """
 
 from __future__ import annotations
@@ -25,12 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import bounded_batches, codepoints, fold, labelled_docs, map_texts, sigmoid
+from quern.llm.common import bounded_batches, codepoints, fold, labelled_docs, map_texts
 
 #: Labelled rows of each class that the fit uses, at most about.
 PER_CLASS = 4000
 #: Weight of the pooled covariance and of the scaled identity in a class's covariance.
 TO_POOLED, TO_IDENTITY = 0.1, 0.02
+#: Least scale of that identity, in squared standard deviations, and the deviation below which a
+#: statistic counts as constant in the sample: no class is too small, or too uniform, to be fitted.
+LEAST_SPREAD, CONSTANT = 0.05, 1e-3
 #: Code points handled at once in one document.
 PIECE = 1 << 21
 
@@ -118,7 +124,8 @@ class Discriminant:
         base = float(y.mean()) if len(y) else 0.5
         if len(set(y.tolist())) < 2:
             return cls(base)
-        shift, scale = x.mean(0), x.std(0) + 1e-6
+        shift, scale = x.mean(0), x.std(0)
+        scale = np.where(scale > CONSTANT, scale, 1.0)
         z = (x - shift) / scale
         groups = [z[y == k] for k in (0, 1)]
         centred = [g - g.mean(0) for g in groups]
@@ -128,20 +135,25 @@ class Discriminant:
             own = c.T @ c / len(g)
             weight = max(TO_POOLED, min(1.0, x.shape[1] / len(g)))  # few rows: lean on the pool
             cov = (1 - weight) * own + weight * pooled
-            cov = (1 - TO_IDENTITY) * cov + TO_IDENTITY * np.trace(cov) / len(cov) * np.eye(len(cov))
+            cov = (1 - TO_IDENTITY) * cov + TO_IDENTITY * max(np.trace(cov) / len(cov), LEAST_SPREAD) * np.eye(len(cov))
             factor = np.linalg.cholesky(cov)
-            parts.append((g.mean(0), np.linalg.inv(factor), 2 * float(np.log(np.diag(factor)).sum()), float(np.log(len(g) / len(z)))))
+            parts.append((g.mean(0), factor, 2 * float(np.log(np.diag(factor)).sum()), float(np.log(len(g) / len(z)))))
         return cls(base, shift, scale, parts)
 
-    def score(self, vector: list[float]) -> float:
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """The score of each row of statistics."""
         if self.parts is None:
-            return self.base
-        z = (np.asarray(vector) - self.shift) / self.scale
+            return np.full(len(x), self.base)
+        z = (x - self.shift) / self.scale
         density = []
-        for mean, inverse, log_det, prior in self.parts:
-            d = inverse @ (z - mean)
-            density.append(-0.5 * (float(d @ d) + log_det) + prior)
-        return sigmoid(density[1] - density[0])
+        for mean, factor, log_det, prior in self.parts:
+            d = np.linalg.solve(factor, (z - mean).T)
+            density.append(-0.5 * ((d * d).sum(0) + log_det) + prior)
+        return 1 / (1 + np.exp(-np.clip(density[1] - density[0], -700, 700)))
+
+    def judge(self, texts: list[str | None]) -> np.ndarray:
+        """The score of each text, null as empty."""
+        return self.scores(np.array([features(t or "") for t in texts]).reshape(len(texts), -1)) if texts else np.zeros(0)
 
 
 _FIELDS = [("x", pa.list_(pa.float64()))]
@@ -155,9 +167,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column | None = None,
 
 
 def score_quality(docs: DataFrame, model: Discriminant) -> DataFrame:
-    """All columns of ``docs`` but text, with score and predicted."""
-    keep = [c for c in docs.columns if c != "text"]
-    scored = map_texts(docs, lambda t: (model.score(features(t)),), [("score", pa.float64())], "score double", keep)
+    """doc_id, score, predicted."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.judge(batch.column(1).to_pylist()))], names=["doc_id", "score"])
+
+    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -165,7 +181,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held:
     """doc_id, held_out, score, predicted; labels of held-out ids are not read."""
     bounded_batches(docs.sparkSession)
     model = fit_quality(docs, labels, fold("doc_id", modulus) != held, per_class)
-    return score_quality(docs.select("doc_id", "text"), model).select("doc_id", (fold("doc_id", modulus) == held).alias("held_out"), "score", "predicted")
+    return score_quality(docs, model).select("doc_id", (fold("doc_id", modulus) == held).alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, per_class: int = PER_CLASS) -> DataFrame:
@@ -177,6 +193,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int =
     def run(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([model.score(features(t or "")) >= 0.5 for t in texts], pa.bool_()))
+            yield batch.filter(pa.array(model.judge(texts) >= 0.5))
 
     return docs.mapInArrow(run, schema).select(*names)

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, langid, mixing, quality, toxicity, url_filter
-from quern.llm.common import table
+from quern.llm.common import spread, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    return url_filter.filter_urls(spread(table(spark, sf_dir, "pages")))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,27 +23,27 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+    return html_extract.extract_pages(spread(table(spark, sf_dir, "pages")))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.classify_quality(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify(spread(table(spark, sf_dir, "documents")))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_links(spread(table(spark, sf_dir, "documents")))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

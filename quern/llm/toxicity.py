@@ -14,7 +14,10 @@ classes best.  The fit uses a bounded sample of labelled rows and reads their te
 Defined results
     null and empty texts contain no entry and score like any text without one; without labels
     of both classes nothing is learned and every score is the share of label 1 (0.0 if none);
-    an empty table gives an empty result; repeated rows get equal scores.
+    an empty table gives an empty result; repeated rows get equal scores; of several labels of
+    one id the largest counts, of several texts of one labelled id the first speaks; of several
+    entries that match one word the greatest weight counts; very long texts are folded piece by
+    piece and read whole; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -36,6 +40,7 @@ from quern.llm.common import bounded_batches, codepoints, fold, labelled_docs, m
 PER_CLASS = 3000
 #: Lengths of the word beginnings tried, and the likelihood ratio that an entry has to reach.
 PREFIXES, LEAST_RATIO, LEAST_ODDS = (4, 5, 6), 16.0, 2.0
+#: Code points folded at once in one document.
 PIECE = 1 << 21
 
 # Look-alike letters, and digits and symbols used as letters.
@@ -67,8 +72,17 @@ def _table() -> np.ndarray:
     return _TABLE[0]
 
 
-def fold_text(text: str) -> str:
-    """Folded text with a blank at both ends.  A symbol counts as a letter only between letters."""
+def pieces(text: str) -> Iterator[str]:
+    """The text in pieces of about ``PIECE`` code points, cut behind a blank where there is one."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE
+        cut = text.rfind(" ", at, end) + 1 if end < len(text) else len(text)
+        yield text[at : cut or end]
+        at = cut or end
+
+
+def _folded(text: str) -> str:
     cp = _table()[codepoints(text.lower())]
     for ch, to in SYMBOLS.items():
         at = np.flatnonzero(cp == ord(ch))
@@ -77,7 +91,12 @@ def fold_text(text: str) -> str:
             after = np.where(at + 1 < len(cp), cp[np.minimum(at + 1, len(cp) - 1)], 32)
             inside = (before > 96) & (after > 96)
             cp[at] = np.where(inside, ord(to), 32)
-    return " " + cp.astype("<u4").tobytes().decode("utf-32-le") + " "
+    return cp.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def fold_text(text: str) -> str:
+    """Folded text with a blank at both ends.  A symbol counts as a letter only between letters."""
+    return " " + "".join(map(_folded, pieces(text))) + " "
 
 
 def word_features(word: str) -> list[str]:
@@ -117,9 +136,16 @@ class Lexicon:
         return found
 
     def contexts(self, folded: str, start: int, word: str) -> list[tuple[str, str]]:
-        before = folded[max(0, start - 65) : start].split()
-        after = folded[start + len(word) : start + len(word) + 65].split()
-        return [(a, b) for a, b in ((before[-1] if before else "", word), (word, after[0] if after else ""))]
+        """The word with the one before it, and with the one after it (empty at the ends)."""
+        last = start - 1
+        while last >= 0 and folded[last] == " ":
+            last -= 1
+        before = folded[folded.rfind(" ", 0, last + 1) + 1 : last + 1]
+        first = start + len(word)
+        while first < len(folded) and folded[first] == " ":
+            first += 1
+        after = folded[first : folded.find(" ", first)] if first < len(folded) else ""
+        return [(before, word), (word, after)]
 
     def measure(self, text: str) -> float:
         """Weights found, normalised by length."""
