@@ -1,14 +1,16 @@
 """Exact deduplication by a 128-bit content hash, with a byte comparison inside each group.
 
-Native DataFrame code only.  Two shuffles carry data: one moves each distinct text once per
+Native DataFrame code only.  One shuffle carries texts: it moves each distinct text once per
 map task (copies collapse in the map-side aggregation, so a text that fills a third of the
-corpus costs one row per task), the other moves ids and hashes.
+corpus costs one row per task).  What finds its group by a join are ids and two digests (128 and
+256 bits), not bytes: the bytes were compared where the groups were made.
 
 Defined results
     null text counts as the empty text, so nulls and empty texts are copies of each other;
     an empty table gives an empty result; rows that repeat a doc_id and text share that id and
     all carry kept = true when it is the group's keeper; a null doc_id never wins over an id;
-    further columns, whatever their names, are passed on by ``dedup`` as they are.
+    very long texts are hashed and compared whole; ``dedup_classes`` reads no further columns,
+    ``dedup`` passes them on as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import spare
-
 
 def _variants(docs: DataFrame, text: Column, keep: str) -> DataFrame:
     """One row per distinct text: its hashes, keeper and count.
@@ -46,13 +46,12 @@ def dedup_classes(docs: DataFrame, keep: str = "largest") -> DataFrame:
 def dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; each distinct text once.
 
-    Keepers are ids, one per distinct text; rows are matched on (doc_id, hash).  Should a
-    keeper's row occur several times over, those rows are reduced to one.
+    One aggregation by (hash, text) picks the whole row that stays, so each distinct text moves
+    once from each task and no join follows.  Of rows that share the id as well, the one whose
+    columns have the greatest (least) hash stays.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    own, id_, sha = (spare(docs, n) for n in ("_own", "_id", "_sha"))
-    keepers = _variants(docs.select("doc_id", "text"), text, keep).select(F.col("keep_id").alias(id_), F.col("text_sha256").alias(sha))
-    rows = docs.withColumn(own, F.sha2(text, 256))
-    match = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(sha))
-    held = rows.join(keepers.hint("merge"), match, "left_semi")
-    return held.dropDuplicates(["doc_id", own]).drop(own)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    order = F.struct(F.col("doc_id").isNull() if keep != "largest" else F.col("doc_id").isNotNull(), "doc_id", F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    pick = F.max_by if keep == "largest" else F.min_by
+    return docs.groupBy(F.md5(text).alias("h"), text.alias("t")).agg(pick(whole, order).alias("kept_row")).select("kept_row.*")

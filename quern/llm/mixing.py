@@ -14,7 +14,9 @@ Defined results
     sources without a weight of their own share the queue ``rest`` (null sources too); when a
     source has run out of blocks its later slots stay empty and the others keep their order,
     so no document is dropped or repeated; the last block of a source may be short; an empty
-    table gives an empty result; rows that repeat an id each get a position; columns of the
+    table gives an empty result; rows that repeat an id each get a position, in the order of a
+    hash of their columns (rows equal in all are interchangeable), and one id's rows are numbered
+    in one task; rows without an id are spread by that hash; texts are not looked into; columns of the
     input named like a result column (in any case) give way to it.
 """
 
@@ -25,6 +27,7 @@ from math import ceil, floor
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from quern.llm.common import spare
 
@@ -69,16 +72,19 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, rest: int = REST_
     for k, name in enumerate(names[:-1]):
         if weights[k]:
             queue = F.when(F.col("source") == name, F.lit(k)).otherwise(queue)
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    results = ("queue", "block_no", "slot", "position")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in results])
+    # Rows without an id are spread by their contents; contents also fix the order of equal ids.
+    own = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)))
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), own.cast("string"))))
     total, digits = docs.count(), 1
     while chunk_rows * 16**digits < total:
         digits += 1
-    results = ("queue", "block_no", "slot", "position")
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in results])
     line, hashed, chunk, size, offset, rank = (spare(docs, n) for n in ("_queue", "_key", "_chunk", "_n", "_offset", "_rank"))
-    rows = docs.withColumns({line: queue, hashed: key}).withColumn(chunk, F.substring(hashed, 1, digits))
+    tie = spare(docs, "_tie")
+    rows = docs.withColumns({line: queue, hashed: key, tie: own}).withColumn(chunk, F.substring(hashed, 1, digits))
 
-    inside = Window.partitionBy(line, chunk).orderBy(hashed, "doc_id")
+    inside = Window.partitionBy(line, chunk).orderBy(hashed, "doc_id", tie)
     sizes = rows.groupBy(line, chunk).agg(F.count(F.lit(1)).alias(size))
     before = Window.partitionBy(line).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(line, chunk, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(offset))
