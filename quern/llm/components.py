@@ -1,8 +1,11 @@
 """Connected components of an edge table, by alternating large and small stars.
 
 Each round is one aggregation and one join over the edges, written below the shared folder, so
-neither the driver nor one task ever holds a component.  A node with very many neighbours costs
-one aggregated row per map task; its join is a sort-merge join that adaptive execution splits.
+neither the driver nor one task ever holds a component.  A node of very many neighbours costs the
+aggregation one row per map task; for the join its edges are dealt over salts, and its row is
+copied to each of them.  How many salts a node gets is known from its degree.  At most ``HUBS``
+nodes can have a degree above 2 E / HUBS of E edges, so the table of them is small enough to be
+broadcast, whatever the graph.
 """
 
 from __future__ import annotations
@@ -12,20 +15,30 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import drop_table, through_table
 
+#: Most nodes that are dealt over salts, and the edges of a node that one task takes at least.
+HUBS, DEGREE = 50_000, 128
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _met(edges: DataFrame, least: DataFrame, limit: int) -> DataFrame:
+    """``edges`` (a, b) with m of ``least`` (a, m, n: how many edges a has)."""
+    salts = F.ceil(F.col("n") / limit).cast("int")
+    hubs = F.broadcast(least.where(F.col("n") > limit).select("a", salts.alias("salts")))
+    dealt = edges.join(hubs, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    copied = least.select("a", "m", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)).alias("salt"))
+    return dealt.join(copied.hint("merge"), ["a", "salt"]).select("a", "b", "m")
+
+
+def _large_star(edges: DataFrame, limit: int) -> DataFrame:
     """Join each larger neighbour of a node to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = both.where("b > a").join(least.hint("merge"), "a")
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return _met(both.where("b > a"), least, limit).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     """Join a node and its smaller neighbours to the smallest of them.  Edges have a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    joined = edges.join(least.hint("merge"), "a")
-    down = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    down = _met(edges, least, limit).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return least.select("a", F.col("m").alias("b")).unionByName(down).distinct()
 
 
@@ -36,13 +49,14 @@ def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = through_table(edges, f"{label}-edges")
-    seen = None
+    seen, n = None, edges.count()
     for _ in range(most_rounds):
-        after = through_table(_small_star(_large_star(edges)), f"{label}-round")
+        limit = max(DEGREE, 2 * n // HUBS)
+        after = through_table(_small_star(_large_star(edges, limit), limit), f"{label}-round")
         # Stars are a fixed point: one edge per node, and no root is itself below another.
         state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first()
         drop_table(edges)
-        edges = after
+        edges, n = after, state[0]
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = state

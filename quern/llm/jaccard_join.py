@@ -1,36 +1,41 @@
 """N-gram Jaccard join: an exact metric-space self-join of word-shingle sets.
 
-The Jaccard distance d = 1 - |A & B| / |A | B| is a metric.  Documents link at d <= 0.2.
+The Jaccard distance d = 1 - |A & B| / |A | B| is a metric.  Documents link at d <= r = 0.2.
 
 1.  *Classes.*  Documents with equal shingle sets are one point.
-2.  *Regions.*  Two linked sets share an element among the first n - ceil(0.8 n) + 1 of each,
+2.  *Pre-split.*  Two linked sets share an element among the first n - ceil(0.8 n) + 1 of each,
     under any common order of elements; rare elements come first, so passages that many
     documents share come last.  Sets connected by shared first elements form a region; no link
-    leaves a region.
-3.  *Voronoi balls.*  Inside a region a pivot p owns the ball d(x, p) <= r, all of it linked
-    through p.  By the triangle inequality a link between a member x of the ball and a set y
-    outside needs d(y, p) <= 2 r and d(x, p) >= d(y, p) - r: only such boundary sets are
-    replicated into the ball's window and compared.  The rest of the region recurses with new
-    pivots.  A region of up to ``REGION`` sets does so within one task; larger ones are dealt
-    out over salted tasks, with ``PIVOTS`` pivots a round, until nothing is left.
-4.  *Components.*  Links inside regions (a star for each ball, never all pairs) give connected
-    components; a component's id is the smallest doc_id in it.
-5.  *Link counts.*  Where they are asked for, every link is verified once: pairs inside a ball,
-    members of a ball against its window, and, of two balls, the later pivot's members as the
-    earlier one's guests.  Tasks return sums for each class, weighted by the rows of the classes
-    it links with, never the links themselves.
+    leaves a region.  (Nearly all distances in a corpus are one: pivots over all of it would
+    tell nothing apart.)
+3.  *Voronoi cells.*  Pivots are picked in a region.  A set belongs to the cell of its nearest
+    pivot, or, farther than T = 0.6 from all, to the cell of the far ones.  By the triangle
+    inequality a set y links into the cell of p only if d(y, p) <= T + r and
+    d(y, p) <= d(y, nearest) + 2 r, and with a far set only if d(y, nearest) > T - r: there it is
+    replicated as a guest (of two cells' members only the later one's, so each pair meets once).
+    Every cell with its guests is a region again and is joined recursively: inside one task if
+    it is small, else in the next round, split anew by its first elements (of an order by counts
+    inside the region) and with more pivots.
+4.  *Components.*  Links give connected components; a component's id is the smallest doc_id in it.
+5.  *Link counts.*  Where they are asked for, every pair of linked sets is met once, and tasks
+    return sums for each class, weighted by the rows of the classes it links with, never the
+    links themselves.  Where they are not, a region whose sets are all tied to one pivot is done.
 
 Element counts are taken over the whole corpus, but only serve as the order in step 2: any
-order gives the same links.  Elements are 64-bit hashes of shingles, classes have 128-bit keys.
-What tasks carry of the counts has a fixed size: those of the ``HEAVY`` most frequent elements,
-and a map of 2**``MAP_BITS`` bits (16 MB) of the elements that repeat at all.
+order gives the same links.  Elements are 64-bit hashes of shingles, classes have 128-bit keys
+(64 bits of them name a class inside its region).  What tasks carry of the counts has a fixed
+size: those of the ``HEAVY`` most frequent elements, and a map of 2**``MAP_BITS`` bits (16 MB) of
+the elements that repeat at all.  A task holds up to ``REGION`` sets of a region and about
+``ELEMENTS`` elements, besides one set's own.
 
 Defined results
     null and empty texts and texts of white space have an empty set, n_shingles 0, and link
-    with nothing; fewer than five words make one shingle; repeated rows link with each other;
-    rows without a doc_id take part with the smallest id of their class (a class without any
-    takes no part: its rows link with each other only); an empty table gives an empty result;
-    very long texts are read whole.  A row's n_links is the number of other rows it links with.
+    with nothing (their component_id is their own doc_id); fewer than five words make one
+    shingle; repeated rows link with each other; rows that share a doc_id but not their text are
+    rows of their own; rows without a doc_id take part, and a component of such rows only has the
+    component_id null; an empty table gives an empty result; very long texts are read whole.  A
+    row's n_links is the number of other rows it links with.  Other columns, whatever their
+    names, are not read; ``keep_one`` passes them on.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.llm.common import bounded_batches, spare, through_table
+from quern.llm.common import bounded_batches, drop_table, spare, through_table
 from quern.llm.components import components
 
 WORDS = 5
@@ -54,8 +59,11 @@ RADIUS = 1 - PERCENT / 100
 EPS = 1e-9
 #: Elements whose counts the order uses, and the size (a power of two) of the map of repeated ones.
 HEAVY, MAP_BITS = 1 << 17, 27
-#: Sets that one task joins by itself; pivots of one round over a larger region.
-REGION, PIVOTS = 512, 16
+#: Sets that one task joins by itself; pivots of the first round over a larger region (four times
+#: as many in each further one, up to the last number); elements that a task holds, about.
+REGION, PIVOTS, MOST_PIVOTS, ELEMENTS = 512, 16, 256, 1 << 23
+#: Radius of a cell; sets that are compared without pivots; pivots inside a task.
+FAR, FEW, INNER_PIVOTS = 0.6, 48, 8
 #: Elements gathered before they are packed for a shuffle.
 CHUNK = 1 << 19
 #: Cells of a matrix of sets by elements; wider ones are multiplied in parts.
@@ -156,8 +164,9 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield shingles(t)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...]) -> Iterator[tuple[int, list[list]]]:
-    """Rows of consecutive equal keys, as lists of column values; rows arrive sorted by the key."""
+def _runs(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...], once: int = 0) -> Iterator[tuple[int, list[list]]]:
+    """Rows of consecutive equal keys, as lists of column values; rows arrive sorted by the key.
+    A row that repeats the first ``once`` columns of the row before it is left out."""
     at, held = None, [[] for _ in columns]
     for batch in batches:
         keys = batch.column(batch.schema.get_field_index(key)).to_pylist()
@@ -167,6 +176,8 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...])
                 yield at, held
                 held = [[] for _ in columns]
             at = k
+            if once and held[0] and all(held[c][-1] == values[c][i] for c in range(once)):
+                continue
             for h, v in zip(held, values, strict=True):
                 h.append(v[i])
     if held[0]:
@@ -176,21 +187,26 @@ def _runs(batches: Iterator[pa.RecordBatch], key: str, columns: tuple[str, ...])
 # ---------------------------------------------------------------- 1. classes
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """doc_id, place, text: id and a hash of the text find a row again."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")), F.lit(5)).alias("place"), "text")
+
+
 def classes_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n, k1, k2 for each row of ``docs``."""
+    """doc_id, place, n, k1, k2 for each row of ``docs``."""
 
     def run(batches):
         for batch in batches:
             n, k1, k2 = [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(2).to_pylist():
                 s = shingles(t)
                 a, b = set_key(s)
                 n.append(len(s))
                 k1.append(a)
                 k2.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], names=["doc_id", "n", "k1", "k2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], names=["doc_id", "place", "n", "k1", "k2"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long")
+    return located(docs).mapInArrow(run, "doc_id long, place long, n long, k1 long, k2 long")
 
 
 # ---------------------------------------------------------------- 2. regions
@@ -337,14 +353,19 @@ def region_edges(docs: DataFrame, bits: int, heavy: np.ndarray, counts: np.ndarr
             e = np.concatenate(held)
             lengths = [len(h) for h in held]
             node, step = np.repeat(np.array(nodes, np.int64), lengths), np.repeat(np.array(sizes, np.uint8), lengths)
-            order = np.argsort(e, kind="stable")
+            order = np.lexsort((node, step, e))
             e, node, step = e[order], node[order], step[order]
+            # Sets of one size step that share an element here are tied here; the least goes on.
+            new = np.concatenate([[True], (e[1:] != e[:-1]) | (step[1:] != step[:-1])])
+            least = node[new][np.cumsum(new) - 1]
+            ties = np.unique(np.stack([node, least], 1)[node != least], axis=0)
+            e, node, step = e[new], node[new], step[new]
             ranges, rest = _split(e, bits)
             bounds = _group_bounds(ranges)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _, _ in bounds], pa.int64()), pa.array([pack(rest[a:b]) for _, a, b in bounds], pa.binary()), pa.array([node[a:b].astype("<i8").tobytes() for _, a, b in bounds], pa.binary()), pa.array([step[a:b].tobytes() for _, a, b in bounds], pa.binary())],
-                names=["r", "v", "x", "z"],
-            )
+            rows = [(k, pack(rest[a:b]), node[a:b].astype("<i8").tobytes(), step[a:b].tobytes()) for k, a, b in bounds]
+            # Ties travel as they are, dealt over the ranges, without size steps.
+            rows += [(int(ties[at, 0]) & ((1 << bits) - 1), ties[at : at + 4096, 0].astype("<i8").tobytes(), ties[at : at + 4096, 1].astype("<i8").tobytes(), None) for at in range(0, len(ties), 4096)]
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), *(pa.array([x[c] for x in rows], pa.binary()) for c in (1, 2, 3))], names=["r", "v", "x", "z"])
 
         for s in _texts(batches):
             key = set_key(s)
@@ -363,23 +384,25 @@ def region_edges(docs: DataFrame, bits: int, heavy: np.ndarray, counts: np.ndarr
 
     def connect(batches):
         for _, (v, x, z) in _runs(batches, "r", ("v", "x", "z")):
-            value = np.concatenate([unpack(b) for b in v])
-            node = np.concatenate([np.frombuffer(b, "<i8") for b in x])
-            step = np.concatenate([np.frombuffer(b, np.uint8) for b in z])
-            order = np.lexsort((step, value))
-            value, node, step = value[order], node[order], step[order].astype(np.int16)
-            new = np.concatenate([[True], (value[1:] != value[:-1]) | (step[1:] - step[:-1] > 1)])
-            start = np.flatnonzero(new)
-            centre = np.minimum.reduceat(node, start)[np.cumsum(new) - 1]
-            other = node != centre
-            pairs = np.unique(np.stack([node[other], centre[other]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0]), pa.int64()), pa.array(np.ascontiguousarray(pairs[:, 1]), pa.int64())], names=["a", "b"])
+            pairs = [np.stack([np.frombuffer(b, "<i8") for b in pair], 1) for *pair, sizes in zip(v, x, z, strict=True) if sizes is None]
+            met = [i for i, sizes in enumerate(z) if sizes is not None]
+            if met:
+                value = np.concatenate([unpack(v[i]) for i in met])
+                node = np.concatenate([np.frombuffer(x[i], "<i8") for i in met])
+                step = np.concatenate([np.frombuffer(z[i], np.uint8) for i in met])
+                order = np.lexsort((step, value))
+                value, node, step = value[order], node[order], step[order].astype(np.int16)
+                new = np.concatenate([[True], (value[1:] != value[:-1]) | (step[1:] - step[:-1] > 1)])
+                centre = np.minimum.reduceat(node, np.flatnonzero(new))[np.cumsum(new) - 1]
+                pairs.append(np.stack([node, centre], 1)[node != centre])
+            pairs = np.unique(np.concatenate(pairs), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, c]), pa.int64()) for c in (0, 1)], names=["a", "b"])
 
     packed = docs.select("text").mapInArrow(emit, "r long, v binary, x binary, z binary")
     return packed.repartition("r").sortWithinPartitions("r").mapInArrow(connect, "a long, b long")
 
 
-# ---------------------------------------------------------------- 3. balls and windows
+# ---------------------------------------------------------------- 3. cells and guests
 
 
 class Sets:
@@ -450,272 +473,310 @@ def links_between(left: list[np.ndarray], right: list[np.ndarray] | None = None)
     return out
 
 
-def join_region(sets: list[np.ndarray], weight: np.ndarray | None = None) -> tuple[list[int], np.ndarray]:
-    """The component of each set of a region (the least position in it), exactly; with a
-    ``weight`` of each set also the weights of all sets it links with, added up.
+def cells_of(distance: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest pivot and distance of each column of ``distance`` (pivots by sets); -1: far from all.
+    ``turn`` (per set) says at which pivot the search begins, so that ties are spread."""
+    n = len(distance)
+    order = (np.arange(n)[:, None] + turn) % n
+    at = np.take_along_axis(distance, order, 0).argmin(0)
+    nearest = np.take_along_axis(order, at[None], 0)[0]
+    least = distance[nearest, np.arange(distance.shape[1])]
+    return np.where(least <= FAR + EPS, nearest, -1), least
 
-    Each pivot takes its ball out of the region for good: whatever links with a member lies in
-    the ball or in its window, and the window is compared before the ball leaves.
-    """
-    held, parts = Sets(sets), Union(len(sets))
-    left = np.ones(len(sets), bool)
-    links = np.zeros(len(sets), np.int64)
-    while left.any():
-        p = int(np.argmax(left))
-        inter = held.shared(p)
-        link = linked(inter, held.n[p], held.n)
-        distance = 1 - inter / (held.n[p] + held.n - inter)
-        for x in np.flatnonzero(link).tolist():
-            parts.join(p, x)
-        ball = np.flatnonzero(link & left)
-        window = np.flatnonzero(left & ~link & (distance <= 2 * RADIUS + EPS))
-        if weight is None:
-            for y in window.tolist():
-                if parts.find(y) == parts.find(p):
-                    continue
-                near = ball[distance[ball] >= distance[y] - RADIUS - EPS]
-                if len(near) and linked(held.shared(y, near), held.n[y], held.n[near]).any():
-                    parts.join(p, y)
-        else:
-            rest = ball[ball != p]
-            links[p] += weight[rest].sum()
-            links[rest] += weight[p]
-            if len(rest) > 1:
-                links[rest] += links_between([sets[i] for i in rest]) @ weight[rest]
-            if len(rest) and len(window):
-                rest = rest[distance[rest] >= distance[window].min() - RADIUS - EPS]
-            if len(rest) and len(window):
-                window = window[distance[window] <= distance[rest].max() + RADIUS + EPS]
-                found = links_between([sets[i] for i in rest], [sets[i] for i in window])
-                links[rest] += found @ weight[window]
-                links[window] += found.T @ weight[rest]
-                for y in window[found.any(axis=0)].tolist():
-                    parts.join(p, y)
-        left[ball] = False
-        left[p] = False
-    return [parts.find(i) for i in range(len(sets))], links
+
+def guest_of(distance: np.ndarray, least: np.ndarray, cell: np.ndarray, guest: np.ndarray) -> np.ndarray:
+    """Where each set goes as a guest: pivots by sets, and a last line for the cell of the far ones."""
+    near = (distance <= FAR + RADIUS + EPS) & (distance <= least + 2 * RADIUS + EPS)
+    # Of two cells' members the later one's are the guests; the far ones' cell is before all.
+    near &= guest | (np.arange(len(distance))[:, None] < cell)
+    return np.vstack([near, (least > FAR - RADIUS - EPS) & (guest | (cell >= 0))])
 
 
-def _reached(found: np.ndarray) -> np.ndarray:
-    """The least position of each position's component, of a symmetric matrix of links."""
-    root = np.full(len(found), -1)
-    for i in range(len(found)):
-        if root[i] < 0:
-            root[i], front = i, [i]
-            while front:
-                new = np.flatnonzero(found[front.pop()] & (root < 0))
-                root[new] = i
-                front += new.tolist()
-    return root
+def join_sets(sets: list[np.ndarray], natives: int, weight: np.ndarray | None = None, inner: bool = True) -> tuple[list[int], np.ndarray]:
+    """The component of each set (the least position in it) by links of the first ``natives`` sets
+    with each other (if ``inner``) and with the rest, exactly; with a ``weight`` of each set also
+    the weights of all sets it so links with, added up.
+
+    Pivots split the natives into cells, whose guests follow, until few are left to compare.
+    """
+    parts, links = Union(len(sets)), np.zeros(len(sets), np.int64)
+    held = Sets(sets) if natives > FEW else None
+
+    def compare(own: np.ndarray, guests: np.ndarray, inner: bool) -> None:
+        for at in range(0, len(own), REGION):
+            some = own[at : at + REGION]
+            if inner:
+                found = links_between([sets[i] for i in some])
+                for i, j in zip(*np.nonzero(np.triu(found)), strict=True):
+                    parts.join(int(some[i]), int(some[j]))
+                if weight is not None:
+                    links[some] += found @ weight[some]
+            others = np.concatenate([own[at + REGION :], guests]) if inner else guests
+            for to in range(0, len(others), REGION):
+                more = others[to : to + REGION]
+                found = links_between([sets[i] for i in some], [sets[i] for i in more])
+                for i, j in zip(*np.nonzero(found), strict=True):
+                    parts.join(int(some[i]), int(more[j]))
+                if weight is not None:
+                    links[some] += found @ weight[more]
+                    links[more] += found.T @ weight[some]
+
+    todo = [(np.arange(natives), np.arange(natives, len(sets)), inner)]
+    while todo:
+        own, guests, inner = todo.pop()
+        if not len(own) or not inner and not len(guests):
+            continue
+        if weight is None and len({parts.find(i) for i in [*own.tolist(), *guests.tolist()]}) == 1:
+            continue  # nothing left to learn
+        if len(own) <= FEW:
+            compare(own, guests, inner)
+            continue
+        pivots = own[np.linspace(0, len(own) - 1, INNER_PIVOTS).astype(int)]
+        both = np.concatenate([own, guests])
+        shared = np.stack([held.shared(int(p))[both] for p in pivots])
+        distance = 1 - shared / (held.n[pivots][:, None] + held.n[both] - shared)
+        if weight is None and inner:
+            for p, i in zip(*np.nonzero(linked(shared, held.n[pivots][:, None], held.n[both])), strict=True):
+                parts.join(int(pivots[p]), int(both[i]))
+        cell, least = cells_of(distance, both % INNER_PIVOTS)
+        is_guest = np.arange(len(both)) >= len(own)
+        goes = guest_of(distance, least, cell, is_guest)
+        if not inner:  # natives of one region were compared elsewhere
+            goes &= is_guest
+        sizes = [int(((cell == c) & ~is_guest).sum()) for c in range(-1, len(pivots))]
+        if max(sizes) == len(own):
+            compare(own, guests, inner)
+            continue
+        todo += [(both[(cell == c) & ~is_guest], both[goes[c]], inner) for c in range(-1, len(pivots))]
+    return [parts.find(i) for i in range(len(sets))], links
 
 
 def _set_of(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u8")
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def _batches(rows: list[tuple], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``most`` bytes of the last column at most (one row may exceed it alone)."""
+    held, size = [], 0
+    for row in rows:
+        if held and size + len(row[-1] or b"") > most:
+            yield _batch(held, schema)
+            held, size = [], 0
+        held.append(row)
+        size += len(row[-1] or b"")
+    if held:
+        yield _batch(held, schema)
+
+
+def _name(*of: int) -> int:
+    """A 64-bit number for a sequence of them."""
+    h = np.zeros(1, _U)
+    for x in of:
+        h = _mix(h * _U(_BASE) + np.array([x], np.int64).view(_U) + _U(1))
+    return int(h.view(np.int64)[0])
+
+
 def join_regions(members: DataFrame, docs: DataFrame, count: bool = False) -> DataFrame:
-    """One pass over the texts of all regions: kind 0 rows (doc_id, comp, links) are done; kind 1
-    rows hand on the sets of regions that are larger than a task takes.
+    """One pass over the texts of all regions: kind 0 rows (id, comp, links) are done; kind 1 rows
+    hand on the sets of regions that are larger than a task takes.
 
-    ``members`` has region, big, doc_id, k1, k2, weight; links are added up if ``count``.  A text whose set is not the one expected
-    (another row under the same id) is left out.
+    ``members`` has region, big, k1, k2, weight and a row of the class (doc_id, place); links are
+    added up if ``count``.  Repeats of that row are left out.
     """
-    rows = members.join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").hint("merge"), "doc_id")
-    salt = F.when(F.col("big"), F.xxhash64("doc_id")).otherwise(F.lit(0))
-    rows = rows.withColumn("salt", F.pmod(salt, F.lit(1 << 20))).repartition("region", "salt").sortWithinPartitions("region")
+    found = members.withColumnsRenamed({"doc_id": "_id", "place": "_place"}).join(located(docs).hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_place") == F.col("place")))
+    salt = F.when(F.col("big"), F.xxhash64("k1")).otherwise(F.lit(0))
+    rows = found.select("region", "big", "k1", "k2", "weight", "text", F.pmod(salt, F.lit(1 << 20)).alias("salt"))
+    rows = rows.repartition("region", "salt").sortWithinPartitions("region", "k1", "k2")
+    schema = pa.schema([("kind", pa.int32()), ("region", pa.int64()), ("id", pa.int64()), ("comp", pa.int64()), ("weight", pa.int64()), ("links", pa.int64()), ("elements", pa.binary())])
 
     def run(batches):
-        for region, (big, ids, k1, k2, weights, texts) in _runs(batches, "region", ("big", "doc_id", "k1", "k2", "weight", "text")):
-            own, sets, weight = [], [], []
-            for i, a, b, w, t in zip(ids, k1, k2, weights, texts, strict=True):
-                s = shingles(t)
-                if set_key(s) == (a, b):
-                    own.append(i)
-                    sets.append(s)
-                    weight.append(w)
-            if not own:
-                continue
+        for region, (k1, k2, big, weights, texts) in _runs(batches, "region", ("k1", "k2", "big", "weight", "text"), 2):
             if big[0]:
-                columns = [[1] * len(own), [region] * len(own), own, own, weight, [0] * len(own), [s.astype("<u8").tobytes() for s in sets]]
-            else:
-                parts, links = join_region(sets, np.array(weight) if count else None)
-                least: dict[int, int] = {}
-                for i, p in zip(own, parts, strict=True):
-                    least[p] = min(i, least.get(p, i))
-                columns = [[0] * len(own), [region] * len(own), own, [least[p] for p in parts], weight, links.tolist(), [None] * len(own)]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["kind", "region", "doc_id", "comp", "weight", "links", "elements"])
-
-    return rows.mapInArrow(run, "kind int, region long, doc_id long, comp long, weight long, links long, elements binary")
-
-
-def _salted(rows: DataFrame, sizes: DataFrame, per_task: int) -> DataFrame:
-    """``rows`` with salt and salts: a region is dealt over as many tasks as its size asks for."""
-    salts = F.ceil(F.col("size") / per_task).cast("int")
-    return rows.join(sizes.withColumn("salts", salts), "region").withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("salts")).cast("int"))
-
-
-def pivot_round(active: DataFrame, turn: int, per_task: int = REGION, pivots: int = PIVOTS, count: bool = False) -> DataFrame:
-    """One round over large regions.  ``active``: region, doc_id, weight, elements.
-
-    Rows out, by kind: 0 link (doc_id, other); 1 member of a ball (other: its pivot, gap: its
-    distance); 2 boundary set of a ball's window (other: the pivot, gap); 3 still without a ball.
-    Windows leave out what is tied to the ball already, unless ``count``: then they hold every
-    set that may link with a member, but of two balls only the later one's sets (by pivot).
-    Pivots are picked by hash, at most ``pivots`` from a region in any task before the shuffle,
-    and copied to each of the region's tasks, where they come before the sets.
-    """
-    sizes = active.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    pick = Window.partitionBy("region").orderBy(F.xxhash64("doc_id", F.lit(100 + turn)), "doc_id")
-    chosen = active.select("region", "doc_id").withColumn("rank", F.row_number().over(pick)).where(F.col("rank") <= pivots).select("region", "doc_id")
-    spread = active.join(chosen, ["region", "doc_id"], "left_semi").join(sizes, "region")
-    spread = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / per_task).cast("int") - 1)))
-    rows = spread.select("region", "salt", F.lit(0).alias("kind"), "doc_id", "weight", "elements").unionByName(_salted(active, sizes, per_task).select("region", "salt", F.lit(1).alias("kind"), "doc_id", "weight", "elements"))
-    rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "doc_id").withColumn("key", F.concat_ws(":", "region", "salt"))
+                for i, w, t in zip(k1, weights, texts, strict=True):
+                    yield _batch([(1, region, i, i, w, 0, shingles(t).astype("<u8").tobytes())], schema)
+                continue
+            sets = [shingles(t) for t in texts]
+            parts, links = join_sets(sets, len(sets), np.array(weights) if count else None)
+            yield _batch([(0, region, i, k1[p], w, int(x), None) for i, p, w, x in zip(k1, parts, weights, links, strict=True)], schema)
 
-    def run(batches):
-        for key, (kind, ids, weight, blobs) in _runs(batches, "key", ("kind", "doc_id", "weight", "elements")):
-            region = int(key.split(":")[0])
-            sets = [_set_of(b) for b in blobs]
-            n_pivots = sum(k == 0 for k in kind)
-            held, parts = Sets(sets), Union(n_pivots)
-            inter = np.stack([held.shared(p) for p in range(n_pivots)])
-            n_p = held.n[:n_pivots, None]
-            link = linked(inter, n_p, held.n)
-            distance = 1 - inter / (n_p + held.n - inter)
-            for p, q in zip(*np.nonzero(link[:, :n_pivots]), strict=True):
-                parts.join(int(p), int(q))
-            out: list[tuple[int, int, int, float, int, bytes | None]] = []
-            for j in range(n_pivots, len(sets)):
-                reach = np.flatnonzero(link[:, j]).tolist()
-                tied = {parts.find(p) for p in reach}
-                for p in {parts.find(p): p for p in reach}.values():
-                    out.append((0, ids[j], ids[p], 0.0, 0, None))
-                near = min(reach, key=lambda q: (distance[q, j], q)) if reach else n_pivots
-                if reach:
-                    out.append((1, ids[j], ids[near], float(distance[near, j]), weight[j], blobs[j]))
-                else:
-                    out.append((3, ids[j], ids[j], 0.0, weight[j], blobs[j]))
-                for p in np.flatnonzero(distance[:, j] <= 2 * RADIUS + EPS).tolist():
-                    if p < near if count else not link[p, j] and parts.find(p) not in tied:
-                        out.append((2, ids[j], ids[p], float(distance[p, j]), weight[j], blobs[j]))
-            # Pivots that link are one component; the first task of a region says so.
-            if key.endswith(":0"):
-                out += [(0, ids[p], ids[parts.find(p)], 0.0, 0, None) for p in range(n_pivots) if parts.find(p) != p]
-            cols = list(zip(*out, strict=True)) if out else [()] * 6
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([region] * len(out), pa.int64())] + [pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["region", "kind", "doc_id", "other", "gap", "weight", "elements"])
+    return rows.mapInArrow(run, "kind int, region long, id long, comp long, weight long, links long, elements binary")
 
-    return rows.select("key", "kind", "doc_id", "weight", "elements").mapInArrow(run, "region long, kind int, doc_id long, other long, gap double, weight long, elements binary")
 
+ACTIVE = "region long, guest boolean, id long, tie long, weight long, elements binary"
+_ACTIVE = pa.schema([("region", pa.int64()), ("guest", pa.bool_()), ("id", pa.int64()), ("tie", pa.int64()), ("weight", pa.int64()), ("elements", pa.binary())])
+_COLUMNS = [f.name for f in _ACTIVE]
 
-def _sums(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "n"])
 
+def region_sizes(active: DataFrame, per_task: int, count: bool) -> DataFrame:
+    """region, natives, salts (tasks its guests, or its sets if it is split, are dealt over), big:
+    of the regions in which something is left to learn."""
+    native = F.when(~F.col("guest"), 1)
+    n = F.octet_length("elements") / 8
+    sizes = active.groupBy("region").agg(F.count(native).alias("natives"), F.count(F.lit(1)).alias("all"), F.sum(n).alias("elements"), F.coalesce(F.sum(F.when(~F.col("guest"), n)), F.lit(0)).alias("own"), (F.min("tie") < F.max("tie")).alias("open"))
+    left = sizes.where((F.col("natives") > 0) & (F.col("all") > 1) & (F.lit(count) | F.col("open")))
+    big = (F.col("natives") > per_task) | (F.col("natives") > 1) & (F.col("own") > ELEMENTS)
+    dealt = F.when(big, F.col("all")).otherwise(F.col("all") - F.col("natives"))
+    return left.select("region", "natives", F.greatest(F.lit(1), F.ceil(dealt / per_task), F.ceil(F.col("elements") / ELEMENTS)).cast("int").alias("salts"), big.alias("big"))
 
-def window_links(result: DataFrame, per_task: int = REGION, count: bool = False) -> DataFrame:
-    """Links (a, b) between the balls of a round and the sets of their windows.  n: if ``count``,
-    the weights of all sets that a links with there, b among them.
 
-    A ball's members and its window are dealt over a grid of tasks by two salts, so neither a
-    large ball nor a large window meets in one task.  Only members far enough from the pivot
-    (triangle inequality, against the window's nearest set) are sent.
-    """
-    window = result.where("kind = 2").select("region", "other", "doc_id", "gap", "weight", "elements")
-    extent = window.groupBy("region", "other").agg(F.min("gap").alias("nearest"), F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("columns"))
-    ball = result.where("kind = 1").select("region", "other", "doc_id", "gap", "weight", "elements").join(extent, ["region", "other"]).where(F.col("gap") >= F.col("nearest") - RADIUS - EPS)
-    tall = ball.groupBy("region", "other").agg(F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("lines"))
-    both = extent.join(tall, ["region", "other"])
-    cell = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col(n)).cast("int")
-    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = ball.drop("nearest", "columns").join(both, ["region", "other"]).withColumn("line", cell("lines")).withColumn("column", span("columns"))
-    guests = window.join(both, ["region", "other"]).withColumn("column", cell("columns")).withColumn("line", span("lines"))
-    keep = ["other", "line", "column", "doc_id", "gap", "weight", "elements"]
-    rows = members.select(*keep, F.lit(0).alias("kind")).unionByName(guests.select(*keep, F.lit(1).alias("kind")))
-    rows = rows.repartition("other", "line", "column").sortWithinPartitions("other", "line", "column", "kind").withColumn("key", F.concat_ws(":", "other", "line", "column"))
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` (with salts) over their region's tasks."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(3)), F.col("salts")).cast("int"))
+
+
+def _copied(rows: DataFrame) -> DataFrame:
+    """``rows`` (with salts) in each of their region's tasks."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
+def leaf_links(active: DataFrame, sizes: DataFrame, count: bool) -> DataFrame:
+    """Links (a, b) of regions that a task takes, b in a's component there, n: the weights of all
+    sets that a links with there.  Guests are dealt over tasks; natives meet in the first."""
+    rows = active.join(sizes.where(~F.col("big")), "region")
+    rows = _copied(rows.where(~F.col("guest"))).unionByName(_dealt(rows.where("guest")))
+    rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "guest", "id").select(F.concat_ws(":", "region", "salt").alias("key"), "guest", "id", "weight", "elements")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        for _, (kind, ids, gap, weight, blobs) in _runs(batches, "key", ("kind", "doc_id", "gap", "weight", "elements")):
-            sets, n_ball, found = [_set_of(b) for b in blobs], sum(k == 0 for k in kind), []
-            if count:
-                if 0 < n_ball < len(ids):
-                    link = links_between(sets[:n_ball], sets[n_ball:])
-                    sums = np.concatenate([link @ np.array(weight[n_ball:]), link.T @ np.array(weight[:n_ball])])
-                    first = np.concatenate([n_ball + link.argmax(axis=1), link.argmax(axis=0)])
-                    found = [(ids[i], ids[int(first[i])], int(sums[i])) for i in np.flatnonzero(sums)]
-                yield _sums(found)
-                continue
-            held, gap = Sets(sets), np.array(gap)
-            for y in range(n_ball, len(ids)):
-                near = np.flatnonzero(gap[:n_ball] >= gap[y] - RADIUS - EPS)
-                hit = near[linked(held.shared(y, near), held.n[y], held.n[near])] if len(near) else near
-                if len(hit):  # the ball is one component: one link says all
-                    found.append((ids[y], ids[int(hit[0])], 0))
-            yield _sums(found)
-
-    return rows.select("key", "kind", "doc_id", "gap", "weight", "elements").mapInArrow(run, "a long, b long, n long")
-
-
-def block_links(active: DataFrame, per_task: int = REGION, count: bool = False) -> DataFrame:
-    """Links inside regions whose sets are mostly far apart, where pivots gain little: each
-    pair of blocks of a region is joined in a task of its own.  If ``count``, a row (a, b, n) says
-    that a links with sets of weight n in such a task, and has b in its component there."""
-    sizes = active.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    dealt = _salted(active, sizes, max(1, per_task // 2))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda o: F.struct(F.least(o, F.col("salt")).alias("i"), F.greatest(o, F.col("salt")).alias("j")))
-    rows = dealt.withColumn("cell", F.explode(pairs)).select(F.concat_ws(":", "region", "cell.i", "cell.j").alias("key"), (F.col("salt") > F.col("cell.i")).alias("second"), "doc_id", "weight", "elements")
-    rows = rows.repartition("key").sortWithinPartitions("key", "second")
+        for key, (guest, ids, weight, blobs) in _runs(batches, "key", ("guest", "id", "weight", "elements")):
+            natives = len(ids) - sum(guest)
+            parts, links = join_sets([_set_of(b) for b in blobs], natives, np.array(weight) if count else None, key.endswith(":0"))
+            yield _batch([(ids[i], ids[p], int(n)) for i, (p, n) in enumerate(zip(parts, links, strict=True)) if p != i or n], schema)
+
+    return rows.mapInArrow(run, "a long, b long, n long")
+
+
+def pivot_round(active: DataFrame, sizes: DataFrame, turn: int, pivots: int) -> DataFrame:
+    """The cells of the large regions as regions of their own, with their guests (``ACTIVE``).
+
+    Pivots are natives picked by hash, as many as fit beside a task's sets; they are copied to
+    each of the region's tasks, where they come before the sets.
+    """
+    rows = active.join(sizes.where("big"), "region")
+    draw = Window.partitionBy("region").orderBy(F.xxhash64("id", F.lit(100 + turn)), "id")
+    chosen = rows.where(~F.col("guest")).select("region", "id", F.octet_length("elements").alias("bytes")).withColumns({"rank": F.row_number().over(draw)}).where(F.col("rank") <= pivots)
+    chosen = chosen.withColumn("upto", F.sum("bytes").over(Window.partitionBy("region").orderBy("rank"))).where((F.col("rank") <= 2) | (F.col("upto") <= 8 * ELEMENTS)).select("region", "id")
+    centres = _copied(rows.where(~F.col("guest")).join(chosen, ["region", "id"], "left_semi")).withColumn("kind", F.lit(0))
+    rows = centres.unionByName(_dealt(rows).withColumn("kind", F.lit(1)))
+    rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "id").select(F.concat_ws(":", "region", "salt").alias("key"), "kind", *_COLUMNS[1:])
 
     def run(batches):
-        for key, (second, ids, weight, blobs) in _runs(batches, "key", ("second", "doc_id", "weight", "elements")):
+        for key, (kind, guest, ids, tie, weight, blobs) in _runs(batches, "key", ("kind", "guest", "id", "tie", "weight", "elements")):
+            region, n = int(key.split(":")[0]), sum(k == 0 for k in kind)
             sets = [_set_of(b) for b in blobs]
-            if not count:
-                parts, _ = join_region(sets)
-                yield _sums([(ids[i], ids[p], 0) for i, p in enumerate(parts) if p != i])
-                continue
-            _, i, j = key.rsplit(":", 2)
-            n, link = len(sets) - sum(second), np.zeros((len(sets), len(sets)), bool)
-            if i == j:
-                link = links_between(sets)
-            elif 0 < n < len(sets):  # pairs inside a block have a task of their own
-                link[:n, n:] = links_between(sets[:n], sets[n:])
-                link |= link.T
-            root, sums = _reached(link), link @ np.array(weight)
-            yield _sums([(ids[x], ids[int(root[x])], int(sums[x])) for x in np.flatnonzero(sums)])
+            held, parts = Sets(sets), Union(n)
+            shared = np.stack([held.shared(p) for p in range(n)])
+            own_n = held.n[:n, None]
+            link, distance = linked(shared, own_n, held.n), 1 - shared / (own_n + held.n - shared)
+            for p, q in zip(*np.nonzero(link[:, :n]), strict=True):
+                parts.join(int(p), int(q))
+            distance, link = distance[:, n:], link[:, n:]
+            names = [_name(region, turn, ids[p]) for p in range(n)] + [_name(region, turn)]
+            is_guest = np.array(guest[n:], bool)
+            cell, least = cells_of(distance, (np.array(ids[n:], np.int64).view(_U) % _U(n)).astype(np.int64))
+            goes = guest_of(distance, least, cell, is_guest)
+            out = []
+            for j in range(len(ids) - n):
+                reach = np.flatnonzero(link[:, j])
+                row = (ids[n + j], ids[parts.find(int(reach[0]))] if len(reach) else tie[n + j], weight[n + j], blobs[n + j])
+                if not is_guest[j]:
+                    out.append((names[cell[j]], False, *row))
+                out += [(names[c], True, *row) for c in np.flatnonzero(goes[:, j])]
+                # A row that says which pivots a set links with; pivots say it for themselves.
+                out += [(region, None, ids[n + j], ids[int(p)], 0, None) for p in {parts.find(int(p)): int(p) for p in reach}.values() if ids[int(p)] != ids[n + j]]
+            if key.endswith(":0"):
+                out += [(region, None, ids[p], ids[parts.find(p)], 0, None) for p in range(n) if parts.find(p) != p]
+            yield from _batches(out, _ACTIVE)
+
+    return rows.mapInArrow(run, ACTIVE)
 
-    return rows.mapInArrow(run, "a long, b long, n long")
+
+def split_again(active: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
+    """``active`` with its large regions split by shared first elements, of an order by their counts
+    inside the region: much that repeats in the corpus is alone in a region."""
+    big = active.join(sizes.where("big").select("region"), "region", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            region, ids, blobs = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("region", "id", "elements"))
+            for r, i, b in zip(region, ids, blobs, strict=True):
+                e = _set_of(b).view(np.int64)
+                for at in range(0, len(e), 1 << 16):
+                    part = e[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), v), pa.int64()) for v in (r, i, len(e))] + [pa.array(part, pa.int64())], names=["region", "id", "n", "e"])
+
+    listed = big.select("region", "id", "elements").mapInArrow(run, "region long, id long, n long, e long")
+    # Elements that a region holds once come first in their set and tie nothing.
+    repeated = listed.groupBy("region", "e").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = listed.join(repeated.hint("merge"), ["region", "e"])
+    own = Window.partitionBy("region", "id")
+    ranked = shared.withColumns({"rank": F.row_number().over(own.orderBy("c", "e")), "m": F.count(F.lit(1)).over(own)})
+    need = F.floor((F.col("n") * PERCENT + 99) / 100)
+    first = ranked.where(F.col("rank") <= F.col("m") - need + 1)  # n - need + 1 in all, n - m of them alone
+    first = through_table(first.select("region", "id", "e"), f"{label}-first")
+    node = F.xxhash64("region", "id")
+    centre = first.groupBy("region", "e").agg(F.min(node).alias("b"))
+    edges = first.join(centre.hint("merge"), ["region", "e"]).select(node.alias("a"), "b")
+    roots = components(edges, label).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    moved = big.withColumn("_node", node).join(roots.hint("merge"), "_node").select(F.col("_root").alias("region"), *_COLUMNS[1:])
+    drop_table(first)
+    return active.join(sizes.where(~F.col("big")).select("region"), "region", "left_semi").unionByName(moved)
 
 
 def join_large(active: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, count: bool = False) -> DataFrame:
-    """doc_id, comp, links of the sets of large regions.  ``active``: region, doc_id, weight, elements."""
-    links = None
-    left, turn = active.count(), 0
-    while left:
-        result = through_table(pivot_round(active, turn, per_task, pivots, count), "jaccard-round")
-        found = result.where("kind = 0").select(F.col("doc_id").alias("a"), F.col("other").alias("b"), F.lit(0).cast("long").alias("n")).unionByName(window_links(result, per_task, count))
-        if count:
-            balls = result.where("kind = 1").select(F.col("other").alias("region"), "doc_id", "weight", "elements")
-            found = found.unionByName(block_links(balls, per_task, count))
-        active = result.where("kind = 3").select("region", "doc_id", "weight", "elements")
-        after = active.count()
-        if after and after > 0.7 * left:
-            found, after = found.unionByName(block_links(active, per_task, count)), 0
-        found = through_table(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "jaccard-links")
+    """id, comp, links of the sets of large regions.  ``active``: region, id, weight, elements."""
+    active = active.select("region", F.lit(False).alias("guest"), "id", F.col("id").alias("tie"), "weight", "elements")
+    links, turn, spent = None, 0, []
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        spent.append(through_table(df, label))
+        return spent[-1]
+
+    def sized() -> tuple[DataFrame, int, int]:
+        sizes = kept(region_sizes(active, per_task, count), "jaccard-sizes")
+        state = sizes.agg(F.count(F.when(~F.col("big"), 1)).alias("small"), F.count(F.when(F.col("big"), 1)).alias("big")).first()
+        return sizes, state["small"], state["big"]
+
+    while True:
+        sizes, small, big = sized()
+        if turn and big:
+            active = kept(split_again(active, sizes, "jaccard-split"), "jaccard-active")
+            sizes, small, big = sized()
+        if not small and not big:
+            break
+        found, after = [], None
+        if small:
+            found.append(leaf_links(active, sizes, count))
+        if big:
+            after = through_table(pivot_round(active, sizes, turn, min(MOST_PIVOTS, pivots * 4**turn)), "jaccard-active")
+            found.append(after.where("guest is null").select(F.col("id").alias("a"), F.col("tie").alias("b"), F.lit(0).cast("long").alias("n")))
+        found = through_table((found[0] if len(found) == 1 else found[0].unionByName(found[1])).groupBy("a", "b").agg(F.sum("n").alias("n")), "jaccard-links")
         links = found if links is None else links.unionByName(found)
-        left, turn = after, turn + 1
+        for table in spent:
+            drop_table(table)
+        spent.clear()
+        if after is None:
+            break
+        spent.append(after)
+        active, turn = after.where("guest is not null"), turn + 1
     if links is None:
-        return active.select("doc_id", F.col("doc_id").alias("comp"), F.lit(0).cast("long").alias("links"))
-    roots = components(links.select("a", "b"), "jaccard-large").select(F.col("node").alias("doc_id"), F.col("root").alias("comp"))
+        return active.select("id", F.col("id").alias("comp"), F.lit(0).cast("long").alias("links"))
+    roots = components(links.select("a", "b"), "jaccard-large").select(F.col("node").alias("id"), F.col("root").alias("comp"))
     if not count:
         return roots.withColumn("links", F.lit(0).cast("long"))
-    return roots.join(links.groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("links")).hint("merge"), "doc_id", "left").select("doc_id", "comp", F.coalesce("links", F.lit(0)).alias("links"))
+    return roots.join(links.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links")).hint("merge"), "id", "left").select("id", "comp", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 # ---------------------------------------------------------------- 4. and 5. all of it
 
 
-def _joined(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_bits: int, count: bool) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (right only if ``count``): one row per row of ``docs``."""
+def _joined(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_bits: int, count: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, place, n, k1, k2), and the classes that link with others: k1, comp, links
+    (right only if ``count``) and component_id."""
     bounded_batches(docs.sparkSession)
     keys = through_table(classes_of(docs), "jaccard-keys")
     total = keys.agg(F.sum("n")).first()[0] or 0
@@ -726,31 +787,56 @@ def _joined(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_b
     size = max(bits + 3, min(map_bits, max(1, total).bit_length() + 1))
     edges = region_edges(docs, bits, heavy, counts, repeated_map(table, bits, size))
     regions = components(edges, "jaccard-regions").select(F.col("node").alias("k1"), F.col("root").alias("region"))
-    classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    members = classes.where("rep is not null").join(regions, "k1").select("region", F.col("rep").alias("doc_id"), "k1", "k2", "weight")
-    sizes = members.groupBy("region").agg((F.count(F.lit(1)) > per_task).alias("big"))
-    done = through_table(join_regions(members.join(sizes, "region"), docs, count), "jaccard-regions-done")
-
-    large = join_large(done.where("kind = 1").select("region", "doc_id", "weight", "elements"), per_task, pivots, count)
-    tied = "comp <> doc_id or links > 0"
-    found = done.where("kind = 0").where(tied).select("doc_id", "comp", "links").unionByName(large.where(tied))
-    named = classes.join(found.withColumnRenamed("doc_id", "rep").hint("merge"), "rep", "left").select("n", "k1", "k2", F.coalesce("comp", "rep").alias("comp"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
-    joined = keys.join(named.hint("merge"), ["n", "k1", "k2"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    drop_table(table)
+    first = [F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("place", "doc_id"), F.min("place")).alias("place")]
+    classes = keys.where("n > 0").groupBy("n", "k1", "k2").agg(*first, F.count(F.lit(1)).alias("weight"))
+    members = through_table(classes.join(regions, "k1").select("region", "n", "doc_id", "place", "k1", "k2", "weight"), "jaccard-members")
+    sizes = members.groupBy("region").agg(((F.count(F.lit(1)) > per_task) | (F.sum("n") > ELEMENTS)).alias("big"))
+    done = through_table(join_regions(members.join(sizes, "region"), docs, count), "jaccard-done")
+
+    large = join_large(done.where("kind = 1").select("region", "id", "weight", "elements"), per_task, pivots, count)
+    tied = "comp <> id or links > 0"
+    # The root of a component is tied to itself.
+    pairs = done.where("kind = 0").select("id", "comp", "links").unionByName(large)
+    roots = pairs.where("comp <> id").select(F.col("comp").alias("id")).distinct().withColumn("root", F.lit(True))
+    found = pairs.join(roots.hint("merge"), "id", "left").where(f"root or {tied}").select(F.col("id").alias("k1"), "comp", "links")
+    named = members.select("k1", "doc_id").join(found.hint("merge"), "k1")
+    ids = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return keys, named.select("k1", "comp", "links").join(ids.hint("merge"), "comp")
+
+
+def _rows(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_bits: int, count: bool) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (right only if ``count``): one row per row of ``docs``."""
+    keys, named = _joined(docs, per_task, pivots, heavy_limit, map_bits, count)
+    own = keys.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("own_id"), F.count(F.lit(1)).alias("weight"))
+    classes = own.join(named.select("k1", "component_id", "links").withColumn("tied", F.lit(True)).hint("merge"), "k1", "left")
+    classes = classes.select("n", "k1", "k2", F.when(F.col("tied"), F.col("component_id")).otherwise(F.col("own_id")).alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    joined = keys.join(classes.hint("merge"), ["n", "k1", "k2"], "left")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def jaccard_components(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``."""
-    return _joined(docs, per_task, pivots, heavy_limit, map_bits, False).drop("n_links")
+    return _rows(docs, per_task, pivots, heavy_limit, map_bits, False).drop("n_links")
 
 
 def jaccard_links(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS, heavy_limit: int = HEAVY, map_bits: int = MAP_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links: one row per row of ``docs``."""
-    return _joined(docs, per_task, pivots, heavy_limit, map_bits, True)
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component."""
-    found, own = jaccard_components(docs), spare(docs, "_id")
-    kept = through_table(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct(), "jaccard-kept")
-    return docs.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(own)), "left_semi")
+    return _rows(docs, per_task, pivots, heavy_limit, map_bits, True)
+
+
+def keep_one(docs: DataFrame, per_task: int = REGION, pivots: int = PIVOTS) -> DataFrame:
+    """One row of ``docs`` of each component: of those with the smallest doc_id the one with the
+    least hash of its text.  Rows with an empty set all stay."""
+    keys, named = _joined(docs, per_task, pivots, HEAVY, MAP_BITS, False)
+    rows = keys.where("n > 0").join(named.select("k1", "comp").hint("merge"), "k1", "left")
+    group = [F.when(F.col("comp").isNull(), F.col(c)).alias(c) for c in ("n", "k1", "k2")]
+    firsts = rows.select(F.col("comp"), *group, "doc_id", "place").groupBy("comp", "n", "k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("f"))
+    empty = keys.where("n = 0").select("doc_id", "place", F.lit(True).alias("all")).distinct()
+    id_, place, every, at, nth = (spare(docs, n) for n in ("_id", "_place", "_all", "_at", "_nth"))
+    kept = firsts.select("f.doc_id", "f.place", F.lit(False).alias("all")).unionByName(empty).select(F.col("doc_id").alias(id_), F.col("place").alias(place), F.col("all").alias(every))
+    kept = through_table(kept, "jaccard-kept")
+    marked = docs.withColumn(at, F.xxhash64(F.coalesce("text", F.lit("")), F.lit(5)))
+    met = marked.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(at) == F.col(place)))
+    # Repeats of the row that stays go; rows that link with nothing stay all.
+    return met.withColumn(nth, F.row_number().over(Window.partitionBy(id_, place).orderBy(F.lit(0)))).where(F.col(every) | (F.col(nth) == 1)).select(*docs.columns)
