@@ -19,26 +19,32 @@ from quern.llm.common import drop_table, through_table
 HUBS, DEGREE = 50_000, 128
 
 
-def _met(edges: DataFrame, least: DataFrame, limit: int) -> DataFrame:
-    """``edges`` (a, b) with m of ``least`` (a, m, n: how many edges a has)."""
+def met(rows: DataFrame, totals: DataFrame, key: str, spread_by: str, limit: int) -> DataFrame:
+    """``rows`` joined with ``totals`` by ``key``; the latter has n, how many rows a key has.  Rows of
+    a key of more than ``limit`` are dealt over salts by a hash of ``spread_by``."""
     salts = F.ceil(F.col("n") / limit).cast("int")
-    hubs = F.broadcast(least.where(F.col("n") > limit).select("a", salts.alias("salts")))
-    dealt = edges.join(hubs, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
-    copied = least.select("a", "m", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)).alias("salt"))
-    return dealt.join(copied.hint("merge"), ["a", "salt"]).select("a", "b", "m")
+    hubs = F.broadcast(totals.where(F.col("n") > limit).select(key, salts.alias("salts")))
+    dealt = rows.join(hubs, key, "left").withColumn("salt", F.pmod(F.xxhash64(spread_by), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    copied = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))).drop("n")
+    return dealt.join(copied.hint("merge"), [key, "salt"]).drop("salt")
+
+
+def hub_limit(rows: int) -> int:
+    """The degree above which a node is dealt over salts: at most ``HUBS`` nodes of ``rows`` have it."""
+    return max(DEGREE, 2 * rows // HUBS)
 
 
 def _large_star(edges: DataFrame, limit: int) -> DataFrame:
     """Join each larger neighbour of a node to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return _met(both.where("b > a"), least, limit).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return met(both.where("b > a"), least, "a", "b", limit).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     """Join a node and its smaller neighbours to the smallest of them.  Edges have a > b."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    down = _met(edges, least, limit).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    down = met(edges, least, "a", "b", limit).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return least.select("a", F.col("m").alias("b")).unionByName(down).distinct()
 
 
@@ -51,7 +57,7 @@ def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame
     edges = through_table(edges, f"{label}-edges")
     seen, n = None, edges.count()
     for _ in range(most_rounds):
-        limit = max(DEGREE, 2 * n // HUBS)
+        limit = hub_limit(n)
         after = through_table(_small_star(_large_star(edges, limit), limit), f"{label}-round")
         # Stars are a fixed point: one edge per node, and no root is itself below another.
         state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first()

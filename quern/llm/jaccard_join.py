@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quern.llm.common import bounded_batches, drop_table, spare, through_table
-from quern.llm.components import components
+from quern.llm.components import components, hub_limit, met
 
 WORDS = 5
 #: Two sets link when PERCENT * union <= 100 * intersection.
@@ -62,6 +62,8 @@ HEAVY, MAP_BITS = 1 << 17, 27
 #: Sets that one task joins by itself; pivots of the first round over a larger region (four times
 #: as many in each further one, up to the last number); elements that a task holds, about.
 REGION, PIVOTS, MOST_PIVOTS, ELEMENTS = 512, 16, 256, 1 << 23
+#: Blocks of so many sets or elements up to which a region is joined block by block, without a round.
+BLOCKS = 8
 #: Radius of a cell; sets that are compared without pivots; pivots inside a task.
 FAR, FEW, INNER_PIVOTS = 0.6, 48, 8
 #: Elements gathered before they are packed for a shuffle.
@@ -612,39 +614,47 @@ _COLUMNS = [f.name for f in _ACTIVE]
 
 
 def region_sizes(active: DataFrame, per_task: int, count: bool) -> DataFrame:
-    """region, natives, salts (tasks its guests, or its sets if it is split, are dealt over), big:
-    of the regions in which something is left to learn."""
-    native = F.when(~F.col("guest"), 1)
-    n = F.octet_length("elements") / 8
-    sizes = active.groupBy("region").agg(F.count(native).alias("natives"), F.count(F.lit(1)).alias("all"), F.sum(n).alias("elements"), F.coalesce(F.sum(F.when(~F.col("guest"), n)), F.lit(0)).alias("own"), (F.min("tie") < F.max("tie")).alias("open"))
-    left = sizes.where((F.col("natives") > 0) & (F.col("all") > 1) & (F.lit(count) | F.col("open")))
-    big = (F.col("natives") > per_task) | (F.col("natives") > 1) & (F.col("own") > ELEMENTS)
-    dealt = F.when(big, F.col("all")).otherwise(F.col("all") - F.col("natives"))
-    return left.select("region", "natives", F.greatest(F.lit(1), F.ceil(dealt / per_task), F.ceil(F.col("elements") / ELEMENTS)).cast("int").alias("salts"), big.alias("big"))
+    """region, lines (blocks of its natives), columns (those and the chunks of its guests), salts
+    (tasks that all its sets are dealt over in a round), big, of the regions in which something
+    is left to learn."""
+    size = F.octet_length("elements") / 8
+    of = lambda c, keep: F.coalesce(F.sum(F.when(keep, c)), F.lit(0))
+    own = ~F.col("guest")
+    sizes = active.groupBy("region").agg(of(F.lit(1), own).alias("natives"), of(size, own).alias("own"), of(F.lit(1), F.col("guest")).alias("guests"), of(size, F.col("guest")).alias("others"), (F.min("tie") < F.max("tie")).alias("open"))
+    left = sizes.where((F.col("natives") > 0) & (F.col("natives") + F.col("guests") > 1) & (F.lit(count) | F.col("open")))
+    parts = lambda n, e: F.greatest(F.ceil(F.col(n) / per_task), F.ceil(F.col(e) / ELEMENTS)).cast("int")
+    lines = F.least(F.col("natives"), parts("natives", "own")).cast("int")
+    chunks = F.least(F.col("guests"), parts("guests", "others")).cast("int")
+    return left.select("region", lines.alias("lines"), (lines + chunks).alias("columns"), (lines + chunks).alias("salts"), (lines > BLOCKS).alias("big"))
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """``rows`` (with salts) over their region's tasks."""
-    return rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(3)), F.col("salts")).cast("int"))
-
-
-def _copied(rows: DataFrame) -> DataFrame:
-    """``rows`` (with salts) in each of their region's tasks."""
-    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+def _dealt(rows: DataFrame, tasks: str, name: str) -> DataFrame:
+    """``rows`` over so many parts of their region."""
+    return rows.withColumn(name, F.pmod(F.xxhash64("id", F.lit(3)), F.col(tasks)).cast("int"))
 
 
 def leaf_links(active: DataFrame, sizes: DataFrame, count: bool) -> DataFrame:
-    """Links (a, b) of regions that a task takes, b in a's component there, n: the weights of all
-    sets that a links with there.  Guests are dealt over tasks; natives meet in the first."""
+    """Links (a, b) of regions of few blocks, b in a's component there, n: the weights of all sets
+    that a links with there.
+
+    A task joins a block of natives with itself, with a later block, or with a chunk of guests.
+    """
     rows = active.join(sizes.where(~F.col("big")), "region")
-    rows = _copied(rows.where(~F.col("guest"))).unionByName(_dealt(rows.where("guest")))
-    rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "guest", "id").select(F.concat_ws(":", "region", "salt").alias("key"), "guest", "id", "weight", "elements")
+    own = _dealt(rows.where(~F.col("guest")), "lines", "block")
+    until = lambda low, high: F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    left = own.withColumns({"line": F.col("block"), "second": F.lit(False)}).withColumn("column", F.explode(F.sequence(F.col("block"), F.col("columns") - 1)))
+    right = own.withColumns({"column": F.col("block"), "second": F.lit(True)}).withColumn("line", F.explode(until(F.lit(0), F.col("block") - 1)))
+    guests = rows.where("guest").withColumn("chunks", F.col("columns") - F.col("lines"))
+    guests = _dealt(guests, "chunks", "chunk").withColumns({"column": F.col("lines") + F.col("chunk"), "second": F.lit(True)}).withColumn("line", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)))
+    keep = ["region", "line", "column", "second", "id", "weight", "elements"]
+    rows = left.select(*keep).unionByName(right.select(*keep)).unionByName(guests.select(*keep))
+    rows = rows.repartition("region", "line", "column").sortWithinPartitions("region", "line", "column", "second", "id").select(F.concat_ws(":", "region", "line", "column").alias("key"), "second", "id", "weight", "elements")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        for key, (guest, ids, weight, blobs) in _runs(batches, "key", ("guest", "id", "weight", "elements")):
-            natives = len(ids) - sum(guest)
-            parts, links = join_sets([_set_of(b) for b in blobs], natives, np.array(weight) if count else None, key.endswith(":0"))
+        for key, (second, ids, weight, blobs) in _runs(batches, "key", ("second", "id", "weight", "elements")):
+            natives, (_, line, column) = len(ids) - sum(second), key.rsplit(":", 2)
+            parts, links = join_sets([_set_of(b) for b in blobs], natives, np.array(weight) if count else None, line == column)
             yield _batch([(ids[i], ids[p], int(n)) for i, (p, n) in enumerate(zip(parts, links, strict=True)) if p != i or n], schema)
 
     return rows.mapInArrow(run, "a long, b long, n long")
@@ -660,8 +670,8 @@ def pivot_round(active: DataFrame, sizes: DataFrame, turn: int, pivots: int) ->
     draw = Window.partitionBy("region").orderBy(F.xxhash64("id", F.lit(100 + turn)), "id")
     chosen = rows.where(~F.col("guest")).select("region", "id", F.octet_length("elements").alias("bytes")).withColumns({"rank": F.row_number().over(draw)}).where(F.col("rank") <= pivots)
     chosen = chosen.withColumn("upto", F.sum("bytes").over(Window.partitionBy("region").orderBy("rank"))).where((F.col("rank") <= 2) | (F.col("upto") <= 8 * ELEMENTS)).select("region", "id")
-    centres = _copied(rows.where(~F.col("guest")).join(chosen, ["region", "id"], "left_semi")).withColumn("kind", F.lit(0))
-    rows = centres.unionByName(_dealt(rows).withColumn("kind", F.lit(1)))
+    centres = rows.where(~F.col("guest")).join(chosen, ["region", "id"], "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    rows = centres.withColumn("kind", F.lit(0)).unionByName(_dealt(rows, "salts", "salt").withColumn("kind", F.lit(1)))
     rows = rows.repartition("region", "salt").sortWithinPartitions("region", "salt", "kind", "id").select(F.concat_ws(":", "region", "salt").alias("key"), "kind", *_COLUMNS[1:])
 
     def run(batches):
@@ -800,9 +810,9 @@ def _joined(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_b
     pairs = done.where("kind = 0").select("id", "comp", "links").unionByName(large)
     roots = pairs.where("comp <> id").select(F.col("comp").alias("id")).distinct().withColumn("root", F.lit(True))
     found = pairs.join(roots.hint("merge"), "id", "left").where(f"root or {tied}").select(F.col("id").alias("k1"), "comp", "links")
-    named = members.select("k1", "doc_id").join(found.hint("merge"), "k1")
-    ids = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return keys, named.select("k1", "comp", "links").join(ids.hint("merge"), "comp")
+    named = through_table(members.select("k1", "doc_id").join(found.hint("merge"), "k1"), "jaccard-named")
+    ids = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    return keys, met(named.select("k1", "comp", "links"), ids, "comp", "k1", hub_limit(named.count()))
 
 
 def _rows(docs: DataFrame, per_task: int, pivots: int, heavy_limit: int, map_bits: int, count: bool) -> DataFrame:

@@ -113,6 +113,7 @@ def test_split_again_and_rounds(spark, monkeypatch, per_task, elements):
     want, _ = brute(rows)
     d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     monkeypatch.setattr(jaccard_join, "ELEMENTS", elements)
+    monkeypatch.setattr(jaccard_join, "BLOCKS", 1)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.jaccard_links(d, per_task, 4, 64, 8).collect()}
     assert [got[i] for i, _ in rows] == want
 
