@@ -140,6 +140,9 @@ class Index:
         self.owner, self.first, self.last = owner[at], place[at], place[np.append(at[1:], len(h)) - 1]
         self.hash, self.start = np.unique(h[at], return_index=True)
         self.start = np.append(self.start, len(at))
+        #: Bands that the runs of a q-gram reach at one place, at most.
+        self.reach = np.add.reduceat((self.last - self.first) // self.width[self.owner] + 3, self.start[:-1])
+        self.fewest = int(self.least.min())
         self.bits[_slot(self.hash)] = True
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
@@ -169,18 +172,18 @@ class Index:
         a band: an occurrence keeps its q-grams at different places of the text.
         """
         where = np.flatnonzero(self.bits[_slot(h)])
-        if len(where) < self.least.min():
+        if len(where) < self.fewest:
             return []
         near = np.searchsorted(self.hash, h[where])
         near[near == len(self.hash)] = 0
         true = self.hash[near] == h[where]
         where, near = where[true], near[true]
-        if len(where) < self.least.min():
+        if len(where) < self.fewest:
             return []
         n = self.start[near + 1] - self.start[near]
         span = (len(h) + self.longest) // int(self.width.min()) + 2
         # Runs are dealt out so that few bands are open at once.
-        upto = np.cumsum(np.add.reduceat((self.last - self.first) // self.width[self.owner] + 3, self.start[:-1])[near])
+        upto = np.cumsum(self.reach[near])
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = 0
         while at < len(where):
