@@ -13,6 +13,21 @@ def in_validation(text_id: Column, modulus: int = 50) -> Column:
     return F.conv(F.substring(text_id, 1, 8), 16, 10).cast("long") % modulus == 0
 
 
+def running_starts(totals: DataFrame, by: list[str], chunk: str, names: list[str], width: int = 4096) -> DataFrame:
+    """``by``, chunk and, for each of ``names``, ``<name>_start``: its sum over all chunks before.
+
+    Sums run inside groups of ``width`` chunks and over the groups' totals, so the one task that
+    sees all of a ``by`` has a row for ``width`` chunks, not for each.
+    """
+    held = totals.withColumn("_far", F.floor(F.col(chunk) / width))
+    upto = lambda *keys: Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = lambda w, c, at: F.coalesce(F.sum(c).over(w.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    far = held.groupBy(*by, "_far").agg(*(F.sum(n).alias(f"_{n}") for n in names))
+    far = far.select(*by, "_far", *(before(upto(*by), f"_{n}", "_far").alias(f"_{n}") for n in names))
+    near = held.select(*by, chunk, "_far", *(before(upto(*by, "_far"), n, chunk).alias(n) for n in names))
+    return near.join(far, [*by, "_far"]).select(*by, chunk, *((F.col(n) + F.col(f"_{n}")).cast("long").alias(f"{n}_start") for n in names))
+
+
 def token_offsets(records: DataFrame, chunk: int = 1024) -> DataFrame:
     """ord, split, n_tokens, offset: where each record's tokens begin in its split's stream.
 
@@ -22,9 +37,8 @@ def token_offsets(records: DataFrame, chunk: int = 1024) -> DataFrame:
     rows = records.select("ord", F.when(in_validation(F.sha1(T.filled("text"))), "val").otherwise("train").alias("split"), F.size(T.words(T.filled("text"))).cast("long").alias("n_tokens")).withColumn("chunk", F.floor(F.col("ord") / chunk))
     inside = Window.partitionBy("split", "chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("split", "chunk").agg(F.sum("n_tokens").alias("t"))
-    before = Window.partitionBy("split").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("split", "chunk", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("start"))
-    return rows.withColumn("local", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(starts, ["split", "chunk"]).select("ord", "split", "n_tokens", (F.col("start") + F.col("local")).alias("offset"))
+    starts = running_starts(totals, ["split"], "chunk", ["t"])
+    return rows.withColumn("local", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(starts, ["split", "chunk"]).select("ord", "split", "n_tokens", (F.col("t_start") + F.col("local")).alias("offset"))
 
 
 def turn_pairs(turns: DataFrame) -> DataFrame:
@@ -58,14 +72,21 @@ def padded_batches(examples: DataFrame, size: int = 8, pad: int = 0) -> DataFram
     return rows.withColumn("_w", width).select("batch", "ord", F.concat("ids", F.array_repeat(F.lit(pad), (F.col("_w") - n))).alias("ids"), F.concat(shifted, F.array_repeat(F.lit(-1), F.col("_w") - F.size(shifted))).alias("targets"))
 
 
-def shard_plan(records: DataFrame, shard_bytes: int = 4_000_000, min_chars: int = 50, chunk: int = 1024) -> DataFrame:
-    """ord, n_bytes, before, shard: a shard for each record by the bytes before it."""
-    rows = records.withColumn("_t", T.strip(T.filled("text"))).where(F.length("_t") >= min_chars).select("ord", F.octet_length("_t").cast("long").alias("n_bytes")).withColumn("chunk", F.floor(F.col("ord") / chunk))
+def shard_plan(records: DataFrame, shard_bytes: int = 4_000_000, min_chars: int = 50, chunk: int = 1024, max_docs: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """ord, n_bytes, before, shard: a shard for each record by the bytes before it.
+
+    With a cap the plan ends behind the record that reaches it.
+    """
+    rows = records.withColumn("_t", T.strip(T.filled("text"))).where(F.length("_t") >= min_chars).select("ord", F.octet_length("_t").cast("long").alias("n_bytes"), F.lit(1).cast("long").alias("n_docs")).withColumn("chunk", F.floor(F.col("ord") / chunk))
     inside = Window.partitionBy("chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy("chunk").agg(F.sum("n_bytes").alias("t"))
-    starts = totals.select("chunk", F.coalesce(F.sum("t").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    placed = rows.withColumn("local", F.coalesce(F.sum("n_bytes").over(inside), F.lit(0))).join(starts, "chunk")
-    return placed.select("ord", "n_bytes", (F.col("start") + F.col("local")).alias("before"), F.floor((F.col("start") + F.col("local")) / shard_bytes).cast("long").alias("shard"))
+    totals = rows.groupBy("chunk").agg(F.sum("n_bytes").alias("bytes"), F.sum("n_docs").alias("docs"))
+    placed = rows.join(running_starts(totals, [], "chunk", ["bytes", "docs"]), "chunk")
+    placed = placed.withColumns({"before": F.col("bytes_start") + F.coalesce(F.sum("n_bytes").over(inside), F.lit(0)), "place": F.col("docs_start") + F.coalesce(F.sum("n_docs").over(inside), F.lit(0))})
+    if max_docs is not None:
+        placed = placed.where(F.col("place") < max_docs)
+    if max_bytes is not None:
+        placed = placed.where(F.col("before") < max_bytes)
+    return placed.select("ord", "n_bytes", "before", F.floor(F.col("before") / shard_bytes).cast("long").alias("shard"))
 
 
 def cache_lookup(files: DataFrame, cache: DataFrame) -> DataFrame:

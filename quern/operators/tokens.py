@@ -70,7 +70,7 @@ def packed_windows(rows: DataFrame, length: int, chunk: int = 1024) -> DataFrame
     sized = rows.select("ord", "split", "ids", F.size("ids").cast("long").alias("n")).where("n > 0").withColumn("chunk", F.floor(F.col("ord") / chunk))
     before = lambda *by: Window.partitionBy(*by)
     totals = sized.groupBy("split", "chunk").agg(F.sum("n").alias("t"))
-    starts = totals.select("split", "chunk", F.coalesce(F.sum("t").over(before("split").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
+    starts = sft.running_starts(totals, ["split"], "chunk", ["t"]).withColumnRenamed("t_start", "start")
     offsets = sized.select("ord", "split", "chunk", "n").withColumn("local", F.coalesce(F.sum("n").over(before("split", "chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).join(starts, ["split", "chunk"])
     placed = sized.select("ord", "split", "ids", "n").join(offsets.select("ord", (F.col("start") + F.col("local")).alias("at")), "ord")
     cut = placed.select("split", "at", "n", "ids", F.explode(F.sequence(F.floor(F.col("at") / length), F.floor((F.col("at") + F.col("n") - 1) / length))).alias("window"))

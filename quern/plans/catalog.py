@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import doctype, neardup, passes, repair, sft, tokens
+from quern.operators import doctype, neardup, passes, repair, reports, sft, tokens
 from quern.session import spread
 from quern.sources import documents
 
@@ -180,6 +180,16 @@ def corpus_build(spark, sf):
     return passes.build_corpus(records(spark, sf), "\n").select("ord", "system", "id", F.length("text").cast("long").alias("n_chars"))
 
 
+def overlap_report(spark, sf):
+    """The 50 pairs that overlap most: a top-k report."""
+    return reports.pairs_by_overlap(passes.overlap_pairs(records(spark, sf))).limit(50).select("a", "b", "shared", "overlap")
+
+
+def cluster_report(spark, sf):
+    """The 50 kept records whose copies overlap most: a top-k report."""
+    return reports.clusters_by_overlap(neardup.keep_drop(records(spark, sf))).limit(50)
+
+
 def classify_scores(spark, sf):
     return doctype.classify(records(spark, sf)).select("ord", *doctype.SIGNALS)
 
@@ -220,7 +230,7 @@ QUERIES = (
     repair_breaks, reflow, audit_counters, audit_verdict, verdict_histogram, audit_worst_first, readable_docs, shingle_counts, overlap_pairs, faithfulness,
     val_split, token_offsets, turn_pairs, sft_prompts, chat_context, per_lang_sample, per_source_cap, padded_batches, shard_plan, cache_lookup, stem_diversity,
     near_contained, minhash_dedup, drop_list, dup_clusters, corpus_build, classify_scores, classify_best, html_text, nfkc_repair, repair_decision,
-    packed_windows, masked_examples, stitched_chats,
+    packed_windows, masked_examples, stitched_chats, overlap_report, cluster_report,
 )
 
 
@@ -295,6 +305,8 @@ SELECT ord, inter, n_old, n_new, numbers_kept, n_new > 0 AND n_old > 0 AND inter
 def oracle_sql() -> dict[str, str]:
     return {
         "drop_list": f'{_KEEP} SELECT "drop", keep, overlap FROM drops',
+        "cluster_report": f"{_KEEP} SELECT keep, count(*) AS drops, max(overlap) AS most FROM drops GROUP BY keep ORDER BY most DESC, keep LIMIT 50",
+        "overlap_report": f"{_EDGES.replace('SELECT a, b, shared / least', 'SELECT a, b, shared, shared / least')} SELECT * FROM e ORDER BY overlap DESC, a, b LIMIT 50",
         "dup_clusters": f"{_KEEP} SELECT keep, count(*) AS drops, max(overlap) AS most FROM drops GROUP BY keep",
         "repair_decision": f"""WITH f AS (SELECT ord, faithful FROM ({_FAITHFUL})), d AS ({_VERDICT.replace(_REC, _TWICE)} SELECT v.ord // 2 AS ord, v.ord % 2 AS new, verdict, round(wl, 4) AS w, round(caps, 4) AS c, text FROM v JOIN rec USING (ord)),
 j AS (SELECT o.ord, o.verdict AS old_verdict, n.verdict AS new_verdict, faithful, o.text = '' AS blank,

@@ -14,9 +14,9 @@ def write_jsonl(records: DataFrame, path: str, order: str | None = "ord") -> Non
     (records.orderBy(order) if order else records).write.mode("overwrite").json(path)
 
 
-def write_shards(records: DataFrame, path: str, shard_bytes: int = 4_000_000, min_chars: int = 50) -> None:
-    """Texts, a blank line between them, in one folder a shard of about ``shard_bytes``."""
-    plan = sft.shard_plan(records, shard_bytes, min_chars).select("ord", "shard")
+def write_shards(records: DataFrame, path: str, shard_bytes: int = 4_000_000, min_chars: int = 50, max_docs: int | None = None, max_bytes: int | None = None) -> None:
+    """Texts, a blank line between them, in one folder a shard of about ``shard_bytes``, up to a cap."""
+    plan = sft.shard_plan(records, shard_bytes, min_chars, max_docs=max_docs, max_bytes=max_bytes).select("ord", "shard")
     rows = records.select("ord", T.strip(T.filled("text")).alias("value")).join(plan, "ord")
     rows.repartition("shard").sortWithinPartitions("shard", "ord").select("shard", "value").write.mode("overwrite").partitionBy("shard").option("lineSep", "\n\n").text(path)
 
