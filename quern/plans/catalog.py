@@ -315,6 +315,10 @@ j AS (SELECT o.ord, o.verdict AS old_verdict, n.verdict AS new_verdict, faithful
 r AS (SELECT *, CASE WHEN blank OR old_verdict = 'OK' THEN 'passed' WHEN NOT faithful THEN 'unfaithful' WHEN better THEN 'improved+faithful' ELSE 'not_improved' END AS reason FROM j)
 SELECT ord, old_verdict, new_verdict, CASE WHEN reason = 'improved+faithful' THEN 'replace' ELSE 'keep' END AS action, reason FROM r""",
         "packed_windows": f"{_IDS}, w AS (SELECT split, id, (row_number() OVER (PARTITION BY split ORDER BY ord, i) - 1) // 1024 AS \"window\" FROM u) SELECT split, \"window\", count(*) AS n, sum(id)::BIGINT AS total FROM w GROUP BY split, \"window\"",
+        "masked_examples": f"""WITH p AS (SELECT conv_id, turn, strlen('### Instruction:' || chr(10) || {_STRIP('"user"')} || chr(10) || chr(10) || '### Response:' || chr(10)) AS q, strlen({_STRIP('coalesce(assistant, \'\')')}) + 1 AS a FROM ({_PAIRS})),
+s AS (SELECT conv_id, q, a, 1 + sum(q + a) OVER (PARTITION BY conv_id ORDER BY turn) AS upto FROM p),
+c AS (SELECT conv_id, least(max(upto), 1024) - 1 AS n, sum(greatest(least(upto, 1024) - (upto - a), 0)) AS n_loss FROM s GROUP BY conv_id)
+SELECT conv_id, n::BIGINT AS n, n_loss::BIGINT AS n_loss FROM c WHERE n_loss > 0""",
         "near_contained": f"{_SH}, g AS (SELECT ord, unnest(s) AS h FROM sh), ok AS (SELECT h FROM g GROUP BY h HAVING count(*) BETWEEN 2 AND 50), h AS (SELECT g.* FROM g JOIN ok USING (h)), p AS (SELECT x.ord AS a, y.ord AS b, count(*) AS shared FROM h x JOIN h y ON x.h = y.h AND x.ord < y.ord GROUP BY x.ord, y.ord) SELECT a, b, shared FROM p JOIN sh s1 ON s1.ord = a JOIN sh s2 ON s2.ord = b WHERE shared >= least(len(s1.s), len(s2.s)) * 0.75 AND shared / (len(s1.s) + len(s2.s) - shared) < 0.75",
         "classify_scores": f"{_KINDS} SELECT * FROM s",
         "classify_best": f"{_KINDS}, t AS (SELECT *, bestiary + adventure + rules AS total, greatest(bestiary, adventure, rules) AS top FROM s), u AS (SELECT *, top - (total - top - least(bestiary, adventure, rules)) AS lead FROM t) SELECT ord, CASE WHEN total = 0 THEN NULL WHEN bestiary = top THEN 'bestiary' WHEN adventure = top THEN 'adventure' ELSE 'rules' END AS doc_type, total > 0 AND coalesce(lead / nullif(total, 0), 0) >= 0.45 AS confident FROM u",

@@ -6,6 +6,7 @@ import tarfile
 import zipfile
 
 import numpy as np
+import pytest
 
 from quern.operators import doctype, neardup, passes, repair, tokens
 from quern.sources import documents, manifest, sinks
@@ -47,6 +48,44 @@ def test_minhash_keeps_the_longer_and_spares_the_rest(spark):
     assert neardup.minhash_dedup(frame(spark, [])).count() == 0
 
 
+def _gone_in_order(rows, bands, threshold):
+    """The sequential rule over (ord, n_chars, sig): buckets as they are opened, pairs in order."""
+    buckets = {}
+    for at, (_, _, sig) in enumerate(rows):
+        width = len(sig) // bands
+        for band in range(bands):
+            buckets.setdefault((band, tuple(sig[band * width : band * width + width])), []).append(at)
+    gone = set()
+    for held in buckets.values():
+        for x, i in enumerate(held):
+            for j in held[x + 1 :]:
+                if i not in gone and j not in gone and np.mean(np.array(rows[i][2]) == np.array(rows[j][2])) >= threshold:
+                    gone.add(i if rows[i][1] < rows[j][1] else j)
+    return gone
+
+
+@pytest.mark.parametrize("seed, chunk", [(1, 1 << 20), (2, 3)])
+def test_speakers_of_one_signature_change_nothing(spark, seed, chunk):
+    draw = random.Random(seed)
+    rows = []
+    for _ in range(20):  # families apart from each other, each with signatures that repeat and interleave
+        base = [draw.randrange(1 << 40) for _ in range(8)]
+        forms = [[v if draw.random() < 0.7 else v + draw.randrange(1, 3) for v in base] for _ in range(4)]
+        rows += [(len(rows) + k, draw.randrange(5, 12), draw.choice(forms)) for k in range(draw.randrange(3, 16))]
+    want = _gone_in_order(rows, 4, 0.6)
+    df = spark.createDataFrame(rows, "ord long, n_chars long, sig array<long>")
+    got = [r.ord for r in neardup.near_duplicates(df, 0.6, 4, chunk).collect()]
+    assert len(want) > 20 and sorted(got) == sorted(want)
+
+
+def test_a_copy_outlives_the_longer_one_that_was_dropped_first(spark):
+    g, y, z = [1, 1, 1, 1], [1, 1, 1, 2], [1, 3, 1, 2]
+    rows = [(0, 6, g), (1, 10, y), (2, 11, z), (3, 5, g)]
+    assert _gone_in_order(rows, 4, 0.75) == {0, 1}
+    df = spark.createDataFrame(rows, "ord long, n_chars long, sig array<long>")
+    assert {r.ord for r in neardup.near_duplicates(df, 0.75, 4).collect()} == {0, 1}
+
+
 def test_keep_drop_equals_best_first_greedy(spark):
     draw, word = random.Random(8), [f"tale{i}" for i in range(400)]
     texts = [" ".join(word[s : s + draw.choice((60, 80, 100))]) for s in (draw.randrange(0, 120) for _ in range(24))]
