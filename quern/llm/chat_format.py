@@ -12,7 +12,8 @@ before the anti-join, so a first turn shared by a third of the conversations is
 Defined results
     turns are ordered by turn (null first), ties by role and text; a null role renders as ``unknown``
     and a null text as empty; rows without a conv_id belong to no conversation and are left
-    out; turn rows that repeat count as turns of their own; other columns are not read,
+    out; turn rows that repeat count as turns of their own; a conversation is rendered whole, in
+    one row of one task, however long it and its texts are; other columns are not read,
     whatever their names; an empty table gives an empty result.
 """
 

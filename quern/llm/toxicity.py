@@ -14,7 +14,8 @@ classes best.  The fit uses a bounded sample of labelled rows and reads their te
 Defined results
     null and empty texts contain no entry and score like any text without one; without labels
     of both classes nothing is learned and every score is the share of label 1 (0.0 if none);
-    an empty table gives an empty result; repeated rows get equal scores; of several labels of
+    an empty table gives an empty result; repeated rows get equal scores; a score of exactly one
+    half counts as toxic; of several labels of
     one id the largest counts, of several texts of one labelled id the first speaks; of several
     entries that match one word the greatest weight counts; very long texts are folded piece by
     piece and read whole; other columns, whatever their names, are not read.

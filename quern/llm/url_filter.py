@@ -18,7 +18,9 @@ at most as many as the filter has bits.
 
 Defined results
     null urls and urls without ``://`` have an empty host and path, match no key and are
-    allowed; a url without a path has the empty path; an empty table gives an empty result;
+    allowed; a url without a path has the empty path; of two rules of equal length that fit one
+    url, the one of the longer host wins; very long urls are read whole; a null page_id is handed
+    on; other columns, whatever their names, are not read; an empty table gives an empty result;
     repeated rows are judged alike.
 """
 
@@ -58,7 +60,7 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def candidate_keys(host: str, path: str, host_lengths: frozenset[int], path_lengths: frozenset[int]) -> Iterator[str]:
-    """The keys that a url could match, longest first.
+    """The keys that a url could match, longest first, of equal ones the longer host.
 
     Only suffixes and prefixes of a length that some listed key has can be listed; the others
     need no test.
@@ -70,7 +72,7 @@ def candidate_keys(host: str, path: str, host_lengths: frozenset[int], path_leng
         starts.append(dot + 1)
     hosts = [host[s:] for s in starts if len(host) - s in host_lengths]
     paths = [path[:k] for k in path_lengths if k <= len(path)]
-    yield from sorted({h + "\x00" + p for h in hosts for p in paths}, key=lambda k: (-len(k), k))
+    yield from sorted({h + "\x00" + p for h in hosts for p in paths}, key=lambda k: (-len(k), -k.index("\x00")))
 
 
 @dataclass

@@ -64,3 +64,34 @@ def test_very_long_text(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
     assert {r.doc_id: r.contaminated for r in decontaminate.find_leaks(d, items).collect()} == {1: True, 2: False}
     assert quality.classify_quality(d, labels).count() == toxicity.score_toxicity(d, labels).count() == langid.identify(d).count() == 2
+
+
+def test_values_of_edge_rows(tables):
+    """What the docstrings say of nulls, empty texts and repeated rows."""
+    exact = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.dedup_classes(tables["documents"]).collect()), key=repr)
+    assert exact == sorted([(None, 2, 3, False), (None, None, 1, True), (1, 2, 3, False), (2, 2, 3, True), (3, 3, 2, True), (3, 3, 2, True), (4, 4, 1, True)], key=repr)
+    joined = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard_join.jaccard_links(tables["documents"]).collect()), key=repr)
+    assert joined == sorted([(None, 0, None, 0), (None, 2, None, 0), (1, 0, 1, 0), (2, 0, 2, 0), (3, 2, 3, 2), (3, 2, 3, 2), (4, 2, 3, 2)], key=repr)
+    leaks = decontaminate.find_leaks(tables["documents"], tables["benchmark"]).collect()
+    assert sorted((r.doc_id or 0, r.contaminated) for r in leaks) == [(0, False), (0, False), (1, False), (2, False), (3, True), (3, True), (4, True)]
+    pages = sorted((r.page_id or 0, r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(tables["pages"]).collect())
+    assert pages == [(0, "", "", None, "allow"), (1, "a.net", "/", "net/", "block"), (1, "a.net", "/", "net/", "block")]
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in html_extract.extract_pages(tables["pages"]).collect()) == [(0, "", 0), (1, "", 0), (1, "x", 1)]
+    chat = chat_format.format_chats(tables["conversations"]).first()
+    assert (chat.conv_id, chat.copies, chat.n_turns) == (1, 1, 3) and chat.rendered.startswith("<|unknown|>\n\n<|end|>\n<|user|>\na\n")
+    spoken = {r.doc_id: r.lang_pred for r in langid.identify(tables["documents"]).collect() if r.doc_id in (1, 2)}
+    assert spoken == {1: "und", 2: "und"}
+    for scored in (quality.classify_quality(tables["documents"], tables["labels"]), toxicity.score_toxicity(tables["documents"], tables["labels"])):
+        rows = scored.collect()
+        assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+        assert len({r.score for r in rows if r.doc_id == 3}) == 1 and len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
+    mixed = [r["position"] for r in mixing.mix(tables["documents"].drop("Position")).collect()]
+    assert len(set(mixed)) == 7
+
+
+def test_rules_that_tie_and_long_urls(spark):
+    rules = {("z.org", "/x"): "block", ("org", "/x/y"): "allow", ("c.org", "/" + "p" * 5_000): "block"}
+    urls = ["http://Z.org/x/y/z", "http://a.org/x/y", "http://c.org/" + "p" * 200_000, "http://c.org/" + "p" * 4_999, "://", "b.org/x", "http://xb.org/x"]
+    pages = spark.createDataFrame([(None if i == 0 else i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.rule and r.rule[:6], r.verdict) for r in url_filter.filter_urls(pages, rules).collect()}
+    assert got == {None: ("z.org/", "block"), 1: ("org/x/", "allow"), 2: ("c.org/", "block"), 3: (None, "allow"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "allow")}
