@@ -1,5 +1,6 @@
 """Near duplicates, document types, readers, repair and tokens, against plain Python."""
 
+import hashlib
 import io
 import random
 import tarfile
@@ -23,6 +24,19 @@ def test_signature_arithmetic_is_exact():
     assert neardup.signature(hashes) == [min((a * int(h) + b) % neardup.PRIME for h in hashes) for a, b in maps]
 
 
+def test_signatures_are_those_of_the_digests(spark):
+    draw = random.Random(42)
+    maps = [(draw.randrange(1, neardup.PRIME), draw.randrange(neardup.PRIME)) for _ in range(64)]
+    texts = ["The  Cat\nsat on\tthe mat, the cat sat on the mat", "two words", "Éclair naïve — ok fine then so", " ", None]
+    got = {r.ord: list(r.sig) for r in neardup.signatures(frame(spark, texts)).collect()}
+    assert sorted(got) == [0, 1, 2]
+    for at, sig in got.items():
+        w = texts[at].lower().split()
+        shingles = {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+        hashes = [int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "big") for s in shingles]
+        assert sig == [min((a * h + b) % neardup.PRIME for h in hashes) for a, b in maps]
+
+
 def test_greedy_rounds_equal_the_sequence(spark):
     draw = random.Random(3)
     for _ in range(4):
