@@ -1,8 +1,8 @@
-"""Files to text: plain text, HTML, DOCX, ODT, EPUB, RTF and archives of them, read by binaryFile.
+"""Files to text: plain text, HTML, DOCX, ODT, EPUB, RTF, PDF and archives of them, read by binaryFile.
 
 Every file is opened inside a task.  A file that cannot be read gives a null text and never
-fails the job.  PDF, OCR and the legacy binary formats need libraries that are not assumed:
-pass a callable for their suffix in ``readers``.
+fails the job.  The legacy binary formats need libraries that are not assumed: pass a callable
+for their suffix in ``readers``; so does recognition of scanned pages (``pdf.pdf_pages`` takes it).
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.session import ship
+from quern.sources.pdf import pdf_text
 from quern.sources.rtf import rtf_text
 
 # Limits of an archive.
@@ -166,7 +167,7 @@ def _epub(data: bytes) -> str:
 READERS: dict[str, Reader] = {
     ".txt": _plain, ".md": _plain, ".markdown": _plain,
     ".html": lambda d: html_text(_plain(d)), ".htm": lambda d: html_text(_plain(d)), ".xhtml": lambda d: html_text(_plain(d)),
-    ".docx": _docx, ".odt": _odt, ".epub": _epub, ".rtf": rtf_text,
+    ".docx": _docx, ".odt": _odt, ".epub": _epub, ".rtf": rtf_text, ".pdf": pdf_text,
 }
 TAR = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar.xz", ".txz")
 SINGLE = {".gz": gzip.open, ".bz2": bz2.open, ".xz": lzma.open}
