@@ -21,7 +21,9 @@ def test_signature_arithmetic_is_exact():
     hashes = np.array([0, 1, 2**63 + 12345, 2**64 - 1, neardup.PRIME, 987654321987], np.uint64)
     draw = random.Random(42)
     maps = [(draw.randrange(1, neardup.PRIME), draw.randrange(neardup.PRIME)) for _ in range(64)]
-    assert neardup.signature(hashes) == [min((a * int(h) + b) % neardup.PRIME for h in hashes) for a, b in maps]
+    many = np.random.default_rng(5).integers(0, 2**64, 2 * neardup.BLOCK + 3, dtype=np.uint64)
+    for some in (hashes, many, many[: neardup.BLOCK]):
+        assert neardup.signature(some) == [min((a * int(h) + b) % neardup.PRIME for h in some) for a, b in maps]
 
 
 def test_signatures_are_those_of_the_digests(spark):
@@ -218,3 +220,21 @@ def test_stitched_chats(spark):
         chats.setdefault(r.chat, []).append(r.user)
     assert len(chats) == 50 and all(2 <= len(c) <= 4 and len(set(c)) == len(c) for c in chats.values())
     assert tokens.stitched_chats(pairs.limit(1), 5).count() == 0
+
+
+def test_minhash_dedup_of_documents_equals_the_sequence(spark):
+    from quern.plans import catalog
+
+    folder = "/root/testdata/sf0.001"
+    draw = random.Random(42)
+    maps = [(draw.randrange(1, neardup.PRIME), draw.randrange(neardup.PRIME)) for _ in range(64)]
+    rows = []
+    for r in sorted(catalog.records(spark, folder).collect(), key=lambda r: r.ord):
+        w = (r.text or "").lower().split()
+        if w:
+            shingles = {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+            hashes = [int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "big") for s in shingles]
+            rows.append((r.ord, len(r.text), [min((a * h + b) % neardup.PRIME for h in hashes) for a, b in maps]))
+    gone = {rows[i][0] for i in _gone_in_order(rows, 16, 0.85)}
+    every = {r.ord for r in catalog.records(spark, folder).select("ord").collect()}
+    assert gone and {r.ord for r in catalog.minhash_dedup(spark, folder).collect()} == every - gone
