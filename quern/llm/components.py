@@ -1,7 +1,11 @@
 """Connected components of an edge table, by alternating large and small stars.
 
+A graph of at most ``FEW_EDGES`` different edges is joined by one task in a single pass: a round
+costs the driver some sixteen jobs, each with a task for every shuffle partition, and what it keeps
+of them, however small the graph.  Larger graphs take rounds.
+
 Each round is one aggregation and one join over the edges, written below the shared folder, so
-neither the driver nor one task ever holds a component.  A node of very many neighbours costs the
+neither the driver nor one task ever holds a component of a larger graph.  A node of very many neighbours costs the
 aggregation one row per map task; for the join its edges are dealt over salts, and its row is
 copied to each of them.  How many salts a node gets is known from its degree.  At most ``HUBS``
 nodes can have a degree above 2 E / HUBS of E edges, so the table of them is small enough to be
@@ -10,13 +14,19 @@ broadcast, whatever the graph.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import drop_table, through_table
+from quern.llm.common import drop_table, ship, through_table
 
 #: Most nodes that are dealt over salts, and the edges of a node that one task takes at least.
 HUBS, DEGREE = 50_000, 128
+#: Edges that one task joins by itself (16 MB of them; ``roots_of`` takes 110 to 115 MB meanwhile).
+FEW_EDGES = 1 << 20
 
 
 def met(rows: DataFrame, totals: DataFrame, key: str, spread_by: str, limit: int) -> DataFrame:
@@ -48,6 +58,36 @@ def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     return least.select("a", F.col("m").alias("b")).unionByName(down).distinct()
 
 
+def roots_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some edges, in order, and the smallest node of each one's component."""
+    nodes, ids = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ids[: len(a)], ids[len(a) :]
+    up = np.arange(len(nodes))
+    while len(x):
+        # The larger root of an edge goes below the smallest root it meets; then all point to roots.
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up, after := up[up]):
+            up = after
+        x, y = up[x], up[y]
+        x, y = x[x != y], y[x != y]
+    return nodes, nodes[up]
+
+
+def _joined_by_one(edges: DataFrame) -> DataFrame:
+    """node, root of a graph that fits one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches if batch.num_rows]
+        if not held:
+            return
+        found = roots_of(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        for at in range(0, len(found[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)], pa.int64()) for c in found], names=["node", "root"])
+
+    ship(edges.sparkSession)
+    return edges.coalesce(1).mapInArrow(run, "node long, root long")
+
+
 def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame:
     """node, root (smallest node of its component), for every node that has an edge to another.
 
@@ -56,6 +96,10 @@ def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = through_table(edges, f"{label}-edges")
     seen, n = None, edges.count()
+    if n <= FEW_EDGES and {kind for _, kind in edges.dtypes} == {"bigint"}:
+        found = through_table(_joined_by_one(edges), f"{label}-roots")
+        drop_table(edges)
+        return found
     for _ in range(most_rounds):
         limit = hub_limit(n)
         after = through_table(_small_star(_large_star(edges, limit), limit), f"{label}-round")

@@ -59,6 +59,8 @@ RADIUS = 1 - PERCENT / 100
 EPS = 1e-9
 #: Elements whose counts the order uses, and the size (a power of two) of the map of repeated ones.
 HEAVY, MAP_BITS = 1 << 17, 27
+#: Parts in which the map comes to the driver, one after the other, a job for each.
+MAP_PARTS = 8
 #: Sets that one task joins by itself; pivots of the first round over a larger region (four times
 #: as many in each further one, up to the last number); elements that a task holds, about.
 REGION, PIVOTS, MOST_PIVOTS, ELEMENTS = 512, 16, 256, 1 << 23
@@ -277,7 +279,7 @@ def element_counts(docs: DataFrame, bits: int) -> DataFrame:
 def _lowest_tier(table: DataFrame, most: int) -> int | None:
     """The lowest tier such that at most ``most`` elements are in it or above."""
     lowest, total = None, 0
-    for s in table.groupBy("tier").agg(F.sum("n").alias("n")).orderBy(F.desc("tier")).collect():
+    for s in sorted(table.groupBy("tier").agg(F.sum("n").alias("n")).collect(), key=lambda s: -s.tier):
         total += s.n
         if total > most:
             break
@@ -316,7 +318,7 @@ def repeated_map(table: DataFrame, bits: int, size: int) -> np.ndarray:
                 own[unpack(blob) >> np.uint32(32 - local)] = True
             yield pa.RecordBatch.from_arrays([pa.array([r], pa.int64()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], names=["r", "m"])
 
-    for x in table.where(F.col("tier") >= lowest).select("r", "v").repartition("r").sortWithinPartitions("r").mapInArrow(run, "r long, m binary").toLocalIterator():
+    for x in table.where(F.col("tier") >= lowest).select("r", "v").repartition("r").sortWithinPartitions("r").mapInArrow(run, "r long, m binary").coalesce(MAP_PARTS).toLocalIterator():
         width = (1 << local) // 8
         out[x.r * width : (x.r + 1) * width] = np.frombuffer(x.m, np.uint8)
     return out

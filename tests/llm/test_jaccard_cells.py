@@ -123,3 +123,81 @@ def test_components_of_hubs(spark, monkeypatch):
     edges = [(0, i) for i in range(1, 400)] + [(1000, i) for i in range(600, 1000)] + [(399, 2000), (2000, 3000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert got == dict.fromkeys([*range(400), 2000, 3000], 0) | dict.fromkeys(range(600, 1001), 600)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """32 shuffle partitions that stay as they are; yields a function that counts the jobs of a call."""
+    held = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+    def jobs_of(call):
+        group = f"jobs-{random.random()}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            out = call()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    yield jobs_of
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def graph(seed):
+    """Chains in both directions, stars, cliques and random edges, with repeats, loops and negative nodes."""
+    rng = random.Random(seed)
+    edges = [(i, i + 1) for i in range(300)] + [(-i, -i - 1) for i in range(1000, 1300)] + [(500, i) for i in range(501, 700)] + [(999, i) for i in range(800, 900)]
+    edges += [(i, j) for i in range(2000, 2015) for j in range(2000, 2015)] + [(rng.randint(3000, 3400), rng.randint(3000, 3400)) for _ in range(250)]
+    edges += [(-(1 << 63), (1 << 63) - 1), (4000, 4000)] + rng.sample(edges, 50)
+    rng.shuffle(edges)
+    root = {n: n for n in {x for a, b in edges if a != b for x in (a, b)}}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if a != b and root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    return edges, root
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_small_graph_takes_few_jobs(spark, many_partitions, seed):
+    """Rounds over a small graph cost the driver some 16 jobs each, of a task for each partition."""
+    edges, want = graph(seed)
+    got, jobs = many_partitions(lambda: components(spark.createDataFrame(edges, "a long, b long"), "test").collect())
+    assert len(got) == len(want) and {r.node: r.root for r in got} == want
+    assert 0 < jobs <= 8
+
+
+def test_graphs_above_the_limit_take_rounds(spark, monkeypatch):
+    edges, want = graph(7)
+    edges = spark.createDataFrame(edges, "a long, b long")
+    monkeypatch.setattr("quern.llm.components.DEGREE", 8)
+    for limit in (0, edges.where("a <> b").selectExpr("least(a, b)", "greatest(a, b)").distinct().count() - 1):
+        monkeypatch.setattr("quern.llm.components.FEW_EDGES", limit)
+        monkeypatch.setattr("quern.llm.components._joined_by_one", None)
+        got = components(edges, "test").collect()
+        assert len(got) == len(want) and {r.node: r.root for r in got} == want
+
+
+def test_components_of_no_edges_and_of_names(spark):
+    assert components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long"), "test").collect() == []
+    got = components(spark.createDataFrame([("b", "a"), ("c", "b"), ("y", "x")], "a string, b string"), "test").collect()
+    assert {r.node: r.root for r in got} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+
+
+def test_map_of_repeated_elements_comes_in_few_jobs(spark, many_partitions):
+    texts = [" ".join(f"w{i % 700}x{i % 3}" for i in range(k, k + 60)) for k in range(0, 3000, 20)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    seen = np.concatenate([jaccard_join.shingles(t) for t in texts])
+    values, counts = np.unique(seen, return_counts=True)
+    table = jaccard_join.element_counts(d, 8)
+    got, jobs = many_partitions(lambda: jaccard_join.repeated_map(table, 8, 16))
+    marked = set(np.flatnonzero(np.unpackbits(got, bitorder="little")).tolist())
+    assert marked == set((values[counts > 1] >> np.uint64(48)).astype(int).tolist()) and len(marked) > 300
+    assert 0 < jobs <= 14
