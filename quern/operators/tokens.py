@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import sft
-from quern.session import ship
+from quern.session import ship, small_batches, through_table
 
 Encode = Callable[[str], list[int]]
 # Ids that the byte encoder keeps free for control tokens.
@@ -43,6 +43,7 @@ def file_encoder(path: str) -> Encode:
 def tokenised(records: DataFrame, encode: Encode = byte_encode, prefix: tuple[int, ...] = (BOS,), eos: int = EOS) -> DataFrame:
     """ord, id, ids: prefix, tokens and end of each record.  ``id`` is the sha1 of the text."""
     ship(records.sparkSession)
+    small_batches(records.sparkSession)
     front = list(prefix)
 
     @F.pandas_udf("array<int>")
@@ -65,14 +66,17 @@ def with_split(rows: DataFrame, modulus: int = 50) -> DataFrame:
 def packed_windows(rows: DataFrame, length: int, chunk: int = 1024) -> DataFrame:
     """split, window, ids: each split's token stream in windows of ``length``, the last shorter.
 
-    A record is cut where windows end, so a group holds at most ``length`` tokens.
+    A record is cut where windows end, so a group holds at most ``length`` tokens.  Places follow
+    from the numbers of tokens alone, which go through a table: records are encoded once for these
+    and once to be cut, in one stage at a time.
     """
-    sized = rows.select("ord", "split", "ids", F.size("ids").cast("long").alias("n")).where("n > 0").withColumn("chunk", F.floor(F.col("ord") / chunk))
-    before = lambda *by: Window.partitionBy(*by)
-    totals = sized.groupBy("split", "chunk").agg(F.sum("n").alias("t"))
+    sized = rows.select("ord", "split", F.size("ids").cast("long").alias("n"), F.floor(F.col("ord") / chunk).alias("chunk"))
+    counted = through_table(sized).where("n > 0")
+    totals = counted.groupBy("split", "chunk").agg(F.sum("n").alias("t"))
     starts = sft.running_starts(totals, ["split"], "chunk", ["t"]).withColumnRenamed("t_start", "start")
-    offsets = sized.select("ord", "split", "chunk", "n").withColumn("local", F.coalesce(F.sum("n").over(before("split", "chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).join(starts, ["split", "chunk"])
-    placed = sized.select("ord", "split", "ids", "n").join(offsets.select("ord", (F.col("start") + F.col("local")).alias("at")), "ord")
+    local = F.coalesce(F.sum("n").over(Window.partitionBy("split", "chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counted.withColumn("local", local).join(starts, ["split", "chunk"]).select("ord", "split", "n", (F.col("start") + F.col("local")).alias("at"))
+    placed = rows.select("ord", "ids").join(offsets, "ord")
     cut = placed.select("split", "at", "n", "ids", F.explode(F.sequence(F.floor(F.col("at") / length), F.floor((F.col("at") + F.col("n") - 1) / length))).alias("window"))
     begin = F.greatest(F.col("window") * length, F.col("at"))
     end = F.least((F.col("window") + 1) * length, F.col("at") + F.col("n"))
@@ -85,6 +89,7 @@ def masked_examples(turns: DataFrame, encode: Encode = byte_encode, most: int =
     """conv_id, ids, targets: conversations framed turn by turn, -1 wherever the next token is not
     part of an answer; conversations of which no answer survives the length limit are left out."""
     ship(turns.sparkSession)
+    small_batches(turns.sparkSession)
 
     @F.pandas_udf("array<int>")
     def run(t: pd.Series) -> pd.Series:

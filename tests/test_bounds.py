@@ -1,0 +1,52 @@
+"""What holds at any size of a table: batches, tasks and shuffles of the corpus passes."""
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from quern.operators import tokens
+from quern.session import small_batches
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def default_limit(spark):
+    held = spark.conf.get(LIMIT)
+    spark.conf.unset(LIMIT)
+    yield spark
+    spark.conf.set(LIMIT, held)
+
+
+def test_token_batches_are_small(default_limit):
+    spark = default_limit
+    rows = spark.range(0, 4000, 1, 1).select(F.col("id").alias("ord"), F.repeat(F.lit("x"), 2000).alias("text"))
+    tokens.tokenised(rows)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    seen = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(seen) == 4000 and max(seen) * 2000 <= 2 << 20
+
+
+def test_a_given_batch_limit_is_left_alone(default_limit):
+    default_limit.conf.set(LIMIT, "5000000")
+    small_batches(default_limit)
+    assert default_limit.conf.get(LIMIT).rstrip("b") == "5000000"
+
+
+def test_windows_encode_a_record_twice(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(text):
+        calls.add(1)
+        return tokens.byte_encode(text)
+
+    rows = spark.range(0, 50, 1, 1).select(F.col("id").alias("ord"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    split = tokens.with_split(tokens.tokenised(rows, encode))
+    before = calls.value
+    got = tokens.packed_windows(split, 64).collect()
+    assert sum(len(r.ids) for r in got) == sum(len(f"text {i}") + 2 for i in range(50))
+    assert calls.value - before == 100
