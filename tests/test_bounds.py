@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import tokens
+from quern.operators import passes, repair, tokens
 from quern.session import small_batches
 
 LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -50,3 +50,14 @@ def test_windows_encode_a_record_twice(spark, tmp_path):
     got = tokens.packed_windows(split, 64).collect()
     assert sum(len(r.ids) for r in got) == sum(len(f"text {i}") + 2 for i in range(50))
     assert calls.value - before == 100
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_decisions_move_nothing(spark):
+    rows = spark.range(0, 9, 1, 1).select(F.col("id").alias("ord"), F.lit("some old text").alias("old"), F.when(F.col("id") % 3 > 0, F.lit("some new text")).alias("new"))
+    decided = repair.decisions(rows)
+    assert exchanges(decided) == 0
+    assert decided.count() == 9
