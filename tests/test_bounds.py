@@ -61,3 +61,18 @@ def test_decisions_move_nothing(spark):
     decided = repair.decisions(rows)
     assert exchanges(decided) == 0
     assert decided.count() == 9
+
+
+def test_running_lines_are_found_inside_a_row(spark):
+    row = lambda i, lines: (i, (len(lines) + 1) // 2, [(k // 2, x) for k, x in enumerate(lines)])
+    rows = [row(1, ["Page 1", "a", "page 2 ", "b", "PAGE 33", "c", "x", "d"]), row(2, ["h", "h", "h", "h"]), row(3, ["h", "H", "h", "h", "h", "", "h", ""]), row(4, ["h"] * 8)]
+    got = passes.without_running_lines(spark.createDataFrame(rows, "ord long, pages long, lines array<struct<page long, line string>>"))
+    assert exchanges(got) == 0
+    assert {r.ord: r.text for r in got.collect()} == {1: "a\nb\nc\nx\nd", 2: "h\nh\nh\nh", 3: "\n"}
+
+
+def test_strip_running_lines_moves_texts_once(spark):
+    pages = spark.createDataFrame([(1, p, f"Head {p}\nbody {'abcde'[p]}") for p in range(5)] + [(2, 0, None), (2, 1, "x")], "ord long, page int, text string")
+    got = passes.strip_running_lines(pages)
+    assert exchanges(got) == 1
+    assert {r.ord: r.text for r in got.collect()} == {1: "\n".join(f"body {c}" for c in "abcde"), 2: "x"}
