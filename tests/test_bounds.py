@@ -76,3 +76,10 @@ def test_strip_running_lines_moves_texts_once(spark):
     got = passes.strip_running_lines(pages)
     assert exchanges(got) == 1
     assert {r.ord: r.text for r in got.collect()} == {1: "\n".join(f"body {c}" for c in "abcde"), 2: "x"}
+
+
+def test_the_build_reads_its_texts_from_tables(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = spark.createDataFrame([(i, "en", "s", f"{text} own{i}") for i in range(3)], "ord long, system string, source string, text string")
+    built = passes.build_corpus(rows)
+    assert any("/paragraphs-" in f for f in built.inputFiles())
